@@ -257,7 +257,7 @@ def nullify_secret(spark, d):
     raw = raw_table(spark, d, "raw_filosofi_iris")
     return raw.select(
         "iris",
-        *(numbers.nullify_secret(F.col(c)).alias(c) for c in ("disp_med21", "disp_tp6021", "disp_pimpot21")),
+        *(numbers.nullify_secret(c).alias(c) for c in ("disp_med21", "disp_tp6021", "disp_pimpot21")),
     )
 
 
@@ -266,8 +266,8 @@ def safe_numeric(spark, d):
     raw = raw_table(spark, d, "raw_filosofi_iris")
     return raw.select(
         "iris",
-        numbers.decimal_text(F.col("disp_med21")).alias("median"),
-        numbers.decimal_text(F.col("disp_tp6021"), 5, 2).alias("poverty"),
+        numbers.decimal_text("disp_med21").alias("median"),
+        numbers.decimal_text("disp_tp6021", 5, 2).alias("poverty"),
     )
 
 
@@ -276,8 +276,8 @@ def safe_numeric_lenient(spark, d):
     raw = raw_table(spark, d, "raw_internal_bv_iris")
     return raw.select(
         "lib_iris",
-        numbers.try_decimal_text(F.col("lib_iris")).alias("from_label"),
-        numbers.try_decimal_text(F.col("code_bv")).alias("from_code"),
+        numbers.decimal_text("lib_iris", strict=False).alias("from_label"),
+        numbers.decimal_text("code_bv", strict=False).alias("from_code"),
     )
 
 

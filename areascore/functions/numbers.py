@@ -29,30 +29,29 @@ SUM_NUMERATOR = "decimal(30,8)"
 SUM_DENOMINATOR = "decimal(28,6)"
 
 
-def is_secret(text: Column) -> Column:
-    return F.upper(F.trim(text.cast("string"))).isin(*SECRET_TOKENS)
+def _secret(name: str) -> str:
+    tokens = ", ".join(f"'{token}'" for token in SECRET_TOKENS)
+    return f"upper(trim(`{name}`)) IN ({tokens})"
 
 
-def nullify_secret(text: Column) -> Column:
-    return F.when(is_secret(text), F.lit(None)).otherwise(text)
+def nullify_secret(name: str) -> Column:
+    """The text of a column as it is, or NULL where it is a secrecy token."""
+    return F.expr(f"CASE WHEN {_secret(name)} THEN NULL ELSE `{name}` END")
 
 
 def nullify_tokens(text: Column) -> Column:
     return F.when(text.isin(*NULL_TOKENS, *READER_NULL_TOKENS), F.lit(None)).otherwise(text)
 
 
-def _with_point(text: Column) -> Column:
-    return F.replace(F.trim(text.cast("string")), F.lit(","), F.lit("."))
+def decimal_text(name: str, precision: int = 10, scale: int = 2, strict: bool = True) -> Column:
+    """Decimal from a text column with secrecy tokens and a decimal comma.
 
-
-def decimal_text(text: Column, precision: int = 10, scale: int = 2) -> Column:
-    """Decimal from text with secrecy tokens and a decimal comma. Anything else unreadable raises."""
-    return F.when(~is_secret(text), _with_point(text).cast(f"decimal({precision},{scale})"))
-
-
-def try_decimal_text(text: Column, precision: int = 10, scale: int = 2) -> Column:
-    """As ``decimal_text``, but unreadable text becomes NULL, for quarantine queries."""
-    return F.when(~is_secret(text), _with_point(text).try_cast(f"decimal({precision},{scale})"))
+    Any other unreadable text raises; with ``strict=False`` it becomes NULL, for quarantine queries.
+    Written as one SQL expression because census tables have dozens of such columns.
+    """
+    cast = "cast" if strict else "try_cast"
+    number = f"{cast}(replace(trim(`{name}`), ',', '.') AS decimal({precision},{scale}))"
+    return F.expr(f"CASE WHEN NOT {_secret(name)} THEN {number} END")
 
 
 def blank_decimal(text: Column, precision: int = 14, scale: int = 4) -> Column:

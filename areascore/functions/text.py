@@ -43,17 +43,25 @@ def _fold_tables() -> tuple[dict[str, str], dict[str, str]]:
     return single, several
 
 
+def _literal_map(pairs: dict[str, str]) -> Column:
+    """A constant map, handed over as two joined texts rather than one literal per entry."""
+    mark = "\x01"
+    keys, values = (F.split(F.lit(mark.join(side)), mark) for side in (pairs, pairs.values()))
+    return F.map_from_arrays(keys, values)
+
+
 def _ascii_only(text: Column) -> Column:
     single, several = _fold_tables()
     one_to_one = F.translate(text, "".join(single), "".join(single.values()))
-    # Ligatures, fractions and the like are rare: the per-character lookup runs only where one occurs.
-    lookup = F.create_map(*(F.lit(x) for pair in several.items() for x in pair))
+    # Ligatures, fractions and the like are rare: the per-character lookup runs only where one occurs,
+    # and the search for them only over the few characters that are still not ASCII.
+    left_over = F.regexp_replace(one_to_one, r"[\x00-\x7F]+", "")
+    lookup = _literal_map(several)
     expanded = F.array_join(
         F.transform(F.split(one_to_one, ""), lambda ch: F.coalesce(F.try_element_at(lookup, ch), ch)), ""
     )
-    has_several = one_to_one.rlike("[" + "".join(several) + "]")
-    full = F.when(has_several, expanded).otherwise(one_to_one)
-    return F.regexp_replace(full, r"[^\x00-\x7F]", "")
+    full = F.when(left_over.rlike("[" + "".join(several) + "]"), expanded).otherwise(one_to_one)
+    return F.regexp_replace(full, r"[^\x00-\x7F]+", "")
 
 
 def ascii_fold(text: Column) -> Column:

@@ -123,7 +123,7 @@ FACILITY_TYPE_PREFIXES = {"nb_ecoles_primaires": "B1", "nb_colleges_lycees": "B2
 
 
 def typed_counts(names: dict[str, str], precision: int = 18, scale: int = 6) -> list[Column]:
-    return [decimal_text(F.col(raw), precision, scale).alias(clean) for raw, clean in names.items()]
+    return [decimal_text(raw, precision, scale).alias(clean) for raw, clean in names.items()]
 
 
 def null_as_zero_sum(names: tuple[str, ...]) -> Column:

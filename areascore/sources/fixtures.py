@@ -15,7 +15,9 @@ import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
 GIVEN_TABLES = ("customer", "nation", "region", "orders", "lineitem")
 
 
@@ -143,7 +145,12 @@ def needed_views(sql: str, views: Mapping[str, str]) -> list[str]:
 
 
 def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    """A given table. Its schema is read once per session: each reading costs a job."""
+    path = f"{sf_dir}/{table}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _SCHEMAS:
+        _SCHEMAS[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[known]).parquet(path)
 
 
 def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
