@@ -549,8 +549,7 @@ def correlation(spark, d):
 
 @query
 def score_histogram(spark, d):
-    return profile.histogram(stage(_table(spark, d, MASTER).select(*reports.PILLAR_SCORES)),
-                             reports.PILLAR_SCORES)
+    return profile.histogram(_table(spark, d, MASTER), reports.PILLAR_SCORES)
 
 
 @query

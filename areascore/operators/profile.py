@@ -67,21 +67,22 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     )
     position = F.expr(f"((hundredths - low) * {bins}) div (high - low)")
     filled = ranged.withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
-    # An empty row per bin and column, so that bins without values still appear.
-    empty = ranged.groupBy("pillar").agg(F.min("low").alias("low"), F.max("high").alias("high")).select(
-        "pillar", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"), F.lit(0).alias("n"),
-        "low", "high",
+    per_bin = filled.groupBy("pillar", "bin").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
     )
-    return (
-        filled.select("pillar", "bin", "n", "low", "high")
-        .unionByName(empty)
-        .groupBy("pillar", "bin")
-        .agg(F.sum("n").alias("n"), F.min("low").alias("_low"), F.max("high").alias("_high"))
-        .select(
-            "pillar", "bin", "n",
-            F.round((F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("bin") / bins) / 100, 6)
-            .alias("lower_edge"),
-        )
+    # At most ``bins`` entries per column; bins without values are added from the sequence.
+    per_column = per_bin.groupBy("pillar").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("counts"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+    )
+    every_bin = per_column.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    edge = (F.col("low") + (F.col("high") - F.col("low")) * F.col("bin") / bins) / 100
+    return every_bin.select(
+        "pillar",
+        "bin",
+        F.coalesce(F.try_element_at("counts", F.col("bin")), F.lit(0)).alias("n"),
+        F.round(edge, 6).alias("lower_edge"),
     )
 
 

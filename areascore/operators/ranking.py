@@ -45,7 +45,11 @@ def cumulative_frequencies(panel: DataFrame, value: str) -> DataFrame:
         Window.partitionBy("_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
     )
     below = F.col("_before_bucket") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    return frequencies.join(buckets, "_bucket").select("_value", "_n", below.alias("_below"), "_total")
+    # Every value has a bucket. A left join says the same as an inner one but adds no NULL filter to one
+    # side only, so that both sides read the same shuffled frequencies.
+    return frequencies.join(buckets, "_bucket", "left").select(
+        "_value", "_n", below.alias("_below"), "_total"
+    )
 
 
 def with_percent_rank(panel: DataFrame, value: str, key: str, output: str) -> DataFrame:

@@ -36,18 +36,27 @@ from areascore.sources.tabular import (
 )
 
 MAX_CONTAINER = 2**31 - 1
+# A source has files of one kind; a handful of suffixes is enough to notice that it does not.
+MAX_SUFFIXES = 10
 
 
 def source_format(spark: SparkSession, spec: SourceSpec, path: str) -> str:
     """Format of the files of a source, which must be one and the same.
 
-    Only files a binary cell can hold are opened; anything larger cannot be a container.
+    Files of one source with one suffix are alike, so the smallest of each suffix is opened, not all of
+    them. Anything larger than a binary cell cannot be a container and is left to the hint.
     """
-    files = read_containers(spark, path).where(F.col("length") <= MAX_CONTAINER)
-    found = [r[0] for r in detect_format(files, spec.file_format).select("detected_format").distinct().take(2)]
+    listing = spark.read.format("binaryFile").load(path).where(F.col("length") <= MAX_CONTAINER)
+    suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]{1,7})$", 1))
+    smallest = listing.groupBy(suffix.alias("suffix")).agg(F.min_by("path", "length").alias("path"))
+    opened = [row["path"] for row in smallest.take(MAX_SUFFIXES)]
+    if not opened:
+        return spec.file_format
+    detected = detect_format(read_containers(spark, opened), spec.file_format)
+    found = {row["detected_format"] for row in detected.select("detected_format").take(MAX_SUFFIXES)}
     if len(found) > 1:
         raise ValueError(f"{spec.source_id}: files of different formats {sorted(found)}")
-    return found[0] if found else spec.file_format
+    return found.pop()
 
 
 def read_source(

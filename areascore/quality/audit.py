@@ -5,8 +5,9 @@ from __future__ import annotations
 import logging
 import uuid
 from datetime import datetime
+from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,6 +104,17 @@ def read_model_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(MODEL_LOG).parquet(path)
 
 
+def _load_order() -> Column:
+    """Time of a load with its size as tie-break, as one number.
+
+    A number keeps "the value at the latest load" a hash aggregation; ordering by a structure would make
+    every task sort its part of the log first.
+    """
+    micros = F.unix_micros(F.col("ingested_at").cast("timestamp")).cast("decimal(19,0)")
+    size = F.coalesce(F.col("file_size_bytes"), F.lit(0)).cast("decimal(19,0)")
+    return micros * F.lit(Decimal(10**18)) + size
+
+
 def summary(log: DataFrame) -> DataFrame:
     """Loads per source and vintage.
 
@@ -116,7 +128,7 @@ def summary(log: DataFrame) -> DataFrame:
         F.sum(F.when(F.col("status") == "FAILED", 1).otherwise(0)).alias("nb_echecs"),
         F.max("row_count").alias("dernier_row_count"),
         F.max("file_size_bytes").alias("dernier_file_size_bytes"),
-        F.max_by("row_count", F.struct("ingested_at", "file_size_bytes")).alias(
+        F.max_by("row_count", _load_order()).alias(
             "dernier_row_count_exact"
         ),
     )
@@ -131,8 +143,7 @@ def last_row_count(log: DataFrame, source_id: str | None = None) -> DataFrame:
     chosen = counted_successes(log)
     if source_id is not None:
         chosen = chosen.where(F.col("source_id") == source_id)
-    latest = F.struct("ingested_at", "file_size_bytes")
-    return chosen.groupBy("source_id").agg(F.max_by("row_count", latest).alias("row_count"))
+    return chosen.groupBy("source_id").agg(F.max_by("row_count", _load_order()).alias("row_count"))
 
 
 def row_count_drift(log: DataFrame, limit_pct: int = 20) -> DataFrame:
