@@ -37,7 +37,10 @@ def scan_delimited(
     columns: Sequence[str] | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Delimited files with a header, nothing inferred. Multi-line cells make a file unsplittable."""
+    """Delimited files with a header, nothing inferred; an empty cell is NULL, quoted or not.
+
+    Cells with line breaks need ``multiline``, which makes a file unsplittable.
+    """
     reader = (
         spark.read.option("header", True)
         .option("sep", sep)
