@@ -41,7 +41,11 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-        **{"spark.ui.enabled": "false", "spark.driver.memory": "16g"},
+        **{"spark.ui.enabled": "false",
+            "spark.driver.memory": "16g",
+            # The test tables are small enough to be merged into one partition; keep the cores busy.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 
