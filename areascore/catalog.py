@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areascore.functions import codes, numbers, scores
-from areascore.functions.text import ascii_fold
+from areascore.functions import codes, numbers, scores, text
 from areascore.operators import keys, profile
 from areascore.operators.ranking import with_percent_rank
 from areascore.plans import gold, reports, silver
@@ -227,8 +226,8 @@ def last_row_count(spark, d):
 
 
 @query
-def ascii_fold_texts(spark, d):
-    return given(spark, d, "documents").select("doc_id", ascii_fold(F.col("text")).alias("folded"))
+def ascii_fold(spark, d):
+    return given(spark, d, "documents").select("doc_id", text.ascii_fold(F.col("text")).alias("folded"))
 
 
 # --- projections and scalar functions ------------------------------------------------------------
@@ -467,9 +466,7 @@ def filter_commune_regex(spark, d):
 @query
 def join_perimeter(spark, d):
     income = silver.clean_income(raw_table(spark, d, "raw_filosofi_iris"))
-    areas = _table(spark, d, AREAS)
-    whole = areas.where("is_commune_entiere")
-    return keys.within_perimeter(income, whole).select("iris_code", "revenu_median_uc")
+    return keys.within_perimeter(income, _table(spark, d, AREAS)).select("iris_code", "revenu_median_uc")
 
 
 @query

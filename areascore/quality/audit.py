@@ -121,7 +121,7 @@ def summary(log: DataFrame) -> DataFrame:
     ``dernier_row_count`` and ``dernier_file_size_bytes`` are maxima, as published;
     ``dernier_row_count_exact`` is the count of the latest load.
     """
-    return log.groupBy("source_id", "source_name", "millesime").agg(
+    per_vintage = log.groupBy("source_id", "source_name", "millesime").agg(
         F.max("ingested_at").alias("derniere_ingestion"),
         F.count(F.lit(1)).alias("nb_runs_total"),
         F.sum(F.when(F.col("status") == "SUCCESS", 1).otherwise(0)).alias("nb_succes"),
@@ -132,6 +132,7 @@ def summary(log: DataFrame) -> DataFrame:
             "dernier_row_count_exact"
         ),
     )
+    return per_vintage.orderBy("source_id", "millesime")
 
 
 def counted_successes(log: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ add(
     "WHERE status = 'SUCCESS' AND row_count IS NOT NULL) WHERE rn = 1",
 )
 add(
-    "ascii_fold_texts",
+    "ascii_fold",
     "SELECT doc_id, coalesce(nullif(trim(regexp_replace(strip_accents(text), '[^\\x01-\\x7F]', '', 'g'), "
     "concat(chr(9), chr(10), chr(11), chr(12), chr(13), chr(28), chr(29), chr(30), chr(31), ' ')), ''), "
     "'n-a') AS folded FROM documents",
@@ -236,8 +236,7 @@ add(
 )
 add(
     "join_perimeter",
-    select("income_all i JOIN areas a USING (iris_code)", "iris_code", doubles("revenu_median_uc"),
-           tail="WHERE a.is_commune_entiere"),
+    select("income_all i JOIN areas a USING (iris_code)", "iris_code", doubles("revenu_median_uc")),
 )
 add(
     "join_star",
