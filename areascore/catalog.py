@@ -499,7 +499,7 @@ def facility_totals(spark, d):
 
 @query
 def facility_measures(spark, d):
-    records = silver.facility_records(raw_table(spark, d, "raw_bpe_iris"))
+    records = silver.with_measure_numbers(silver.facility_records(raw_table(spark, d, "raw_bpe_iris")))
     measures = silver.facility_measures()
     return records.groupBy("iris_code").agg(*(c.alias(n) for n, c in measures.items()))
 

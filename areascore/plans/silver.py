@@ -7,6 +7,8 @@ referential with left joins, so they may take either form.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -262,19 +264,49 @@ def facility_records(raw: DataFrame) -> DataFrame:
     )
 
 
+def _position(tests: Iterable[Column]) -> Column:
+    """Number of the first test that holds, counted from zero; NULL when none does."""
+    return F.coalesce(*(F.when(test, F.lit(number)) for number, test in enumerate(tests)))
+
+
+def _family_tests() -> dict[str, Column]:
+    """Facility families; no type belongs to two of them."""
+    kind = F.col("type_equip")
+    tests = {name: kind.isin(*codes) for name, codes in FACILITY_TYPES.items()}
+    return tests | {name: kind.startswith(start) for name, start in FACILITY_TYPE_PREFIXES.items()}
+
+
+def with_measure_numbers(records: DataFrame) -> DataFrame:
+    """Number the domain and the family of a record.
+
+    The texts are compared once per record, so that each of the sums compares a small number.
+    """
+    domains = (F.col("domaine") == code for code in FACILITY_DOMAINS.values())
+    return records.select(
+        "iris_code",
+        "nb_equipements",
+        _position(domains).alias("domain_no"),
+        _position(_family_tests().values()).alias("family_no"),
+    )
+
+
 def facility_measures() -> dict[str, Column]:
-    """Filtered sums per measure; NULL when no record of an area matches."""
-    kind, domain = F.col("type_equip"), F.col("domaine")
-    filters = {name: domain == code for name, code in FACILITY_DOMAINS.items()}
-    filters |= {name: kind.isin(*codes) for name, codes in FACILITY_TYPES.items()}
-    filters |= {name: kind.startswith(start) for name, start in FACILITY_TYPE_PREFIXES.items()}
-    return {name: F.sum(F.when(matches, F.col("nb_equipements"))) for name, matches in filters.items()}
+    """Filtered sums per measure over numbered records; NULL when no record of an area matches."""
+    count = F.col("nb_equipements")
+    families = (*FACILITY_TYPES, *FACILITY_TYPE_PREFIXES)
+    numbered = [("domain_no", FACILITY_DOMAINS), ("family_no", families)]
+    return {
+        name: F.sum(F.when(F.col(column) == number, count))
+        for column, names in numbered
+        for number, name in enumerate(names)
+    }
 
 
 def clean_facilities(raw: DataFrame) -> DataFrame:
     """One row per area. The sums are combined before the shuffle, so a crowded area is no hot spot."""
     measures = [column.alias(name) for name, column in facility_measures().items()]
-    totals = facility_records(raw).groupBy("iris_code").agg(
+    records = with_measure_numbers(facility_records(raw))
+    totals = records.groupBy("iris_code").agg(
         F.sum("nb_equipements").alias("nb_equipements_total"), *measures
     )
     return with_vintage(totals, "silver_bpe")

@@ -134,10 +134,10 @@ def evaluate(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     if len(unique_keys) > 1:
         raise ValueError("at most one key per table can be tested for uniqueness in one pass")
     plain = [i for i, r in enumerate(rules) if r.kind != "unique"]
-    row_level = df
+    counters = {}
     for i in plain:
-        evaluated, against = _row_counters(rules[i])
-        row_level = row_level.withColumns({f"_e{i}": evaluated, f"_v{i}": against})
+        counters[f"_e{i}"], counters[f"_v{i}"] = _row_counters(rules[i])
+    row_level = df.withColumns(counters) if counters else df
     names = [f"{prefix}{i}" for i in plain for prefix in ("_e", "_v")]
     sums = [F.sum(n).alias(n) for n in names]
     if unique_keys:

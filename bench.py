@@ -19,15 +19,12 @@ from areascore.session import build_session
 HEADLINES = (
     "silver_referential",
     "silver_facilities",
-    "silver_population",
-    "percent_rank_panel",
     "gold_environment",
     "gold_social",
     "gold_governance",
     "gold_area_final",
     "gold_basin_final",
     "q_suite",
-    "b3_bottom10",
     "b6_key_indicators",
     "audit_summary",
 )
@@ -41,7 +38,8 @@ def main() -> None:
         "bench",
         f"local[{cpus}]",
         shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-        **{"spark.ui.enabled": "false",
+        **{
+            "spark.ui.enabled": "false",
             "spark.driver.memory": "16g",
             # The test tables are small enough to be merged into one partition; keep the cores busy.
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
