@@ -26,9 +26,14 @@ class ChainResult:
 
 
 def stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
-    """Add the update time: a given one for repeatable runs, else the time of the query."""
+    """Add the update time: a given one for repeatable runs, else the time of the query.
+
+    The model version, where a table has one, stays its last column.
+    """
     when = F.current_timestamp() if as_of is None else F.lit(as_of)
-    return df.withColumn("dbt_updated_at", when)
+    names = [c for c in df.columns if c != "version_modele"]
+    last = [c for c in df.columns if c == "version_modele"]
+    return df.select(*names, when.alias("dbt_updated_at"), *last)
 
 
 def run_chain(

@@ -67,14 +67,17 @@ GOVERNANCE_OUT = (
     "iris_code", "iris_label", "bv_code", "com_code", "dep_code", *FACILITIES,
     "indice_presence_services", "est_zrr", "score_gouvernance_0_100",
 )
-NOT_IN_MASTER = {
-    "nb_cadres_prof_intel", "nb_ouvriers", "nb_employes", "revenu_q3_uc", "actifs_occupes_1564",
-}
+# Column order of the published master table.
 MASTER_OUT = (
     *GEOGRAPHY,
-    *(c for c in ENVIRONMENT_OUT if c not in GEOGRAPHY),
-    *(c for c in SOCIAL_OUT if c not in GEOGRAPHY and c not in NOT_IN_MASTER),
-    *(c for c in GOVERNANCE_OUT if c not in GEOGRAPHY),
+    "nb_logements_total", "nb_residences_principales", "nb_logements_vacants", "taux_vacance_logements_pct",
+    "part_proprietaires_pct", "part_hlm_pct", "part_logements_avant_1971_pct", *ENERGY, "score_env_0_100",
+    "population_totale", "part_moins_25_ans_pct", "part_plus_65_ans_pct", "part_cadres_pct",
+    "revenu_median_uc", "revenu_q1_uc", "revenu_d1_uc", "revenu_d9_uc", "taux_pauvrete_60",
+    "taux_pauvrete_40", "ratio_interdecile_d9d1", "part_menages_imposes", "nb_menages_fiscaux",
+    "taux_chomage_pct", "taux_emploi_pct", "taux_activite_pct", "pop_active_1564", "nb_chomeurs_1564",
+    "nb_emplois_aides", "flag_secret_statistique", "score_social_0_100",
+    *FACILITIES, "indice_presence_services", "est_zrr", "score_gouvernance_0_100",
     "score_esg_0_100", "pct_completude", "version_modele",
 )
 

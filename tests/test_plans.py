@@ -103,6 +103,7 @@ def test_chain_writes_tests_and_registers(spark, tmp_path):
     done = run_chain(spark, raw, str(tmp_path), suite=suite, table_rules=table_rules, as_tables=True)
     assert set(done.tables) == {*SILVER_TABLES, *GOLD_TABLES} and done.success_pct == 100
     assert done.rows[MASTER] == 150 and len(done.tables[MASTER].columns) == 59
+    assert done.tables[MASTER].columns[-2:] == ["dbt_updated_at", "version_modele"]
     found = spark.sql("SELECT count(*) FROM gold.gold_esg_iris_final WHERE dbt_updated_at IS NOT NULL")
     assert found.first()[0] == 150
     broken = {**table_rules, "silver_filosofi": (rules.Rule("between", "taux_pauvrete_60", 0, 1),)}
