@@ -46,7 +46,7 @@ BASE_RULES = (
 RULES = (
     Rule("symbols", 4, "n_symbols", 1, "n_words", 10),
     Rule("stop_words", 1, "n_words", 25, "n_stop_words", 50),
-    Rule("duplicate_lines", 10, "n_dup_lines", 3, "n_lines", 10),
+    Rule("duplicate_lines", 2, "n_dup_lines", 1, "n_lines", 10),
     Rule("long_words", 1, "word_chars", 15, "n_words", 10),
     Rule("short_words", 2, "n_words", 1, "word_chars", 10),
 )
@@ -54,44 +54,24 @@ RULES = (
 SPACE = r"[ \t-\r]+"
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times."""
-    return F.transform(F.array(value), body)[0]
-
-
-def _covered(positions: Column) -> Column:
-    """Words under the windows that start at the given ascending positions."""
-    steps = F.zip_with(
-        positions,
-        F.slice(positions, 2, F.size(positions)),
-        lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))),
-    )
-    # The slice is one shorter, never longer: the last position has no successor.
-    return F.aggregate(steps, F.lit(0), lambda total, x: total + x)
-
-
-def _repeated_positions(ordered: Column) -> Column:
-    """Ascending starts of windows found more than once, from (hash, position) pairs in order."""
-    pairs = F.zip_with(
-        ordered,
-        F.slice(ordered, 2, F.size(ordered)),
-        lambda a, b: F.when(a["h"] == b["h"], F.array(a["i"], b["i"])),
-    )
-    return F.array_sort(F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull()))))
-
-
-def _pairwise(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, lambda a, b: F.xxhash64(a, b))
+def _successors(values: str, join) -> Column:
+    """``join`` of each element and the one after it (null after the last)."""
+    return F.zip_with(values, F.slice(values, 2, F.size(values)), join)
 
 
 def with_measures(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the integer measures of each text. Windows are compared by a 64-bit hash of their words."""
     whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    trimmed = F.btrim(whole, F.lit(" \t\n\x0b\x0c\r"))
     known = [w for s in STOP_WORDS for w in (s, s.capitalize())]
     rows = F.col("_words")
+
+    def _window(word: Column, at: Column) -> Column:
+        return F.xxhash64(word, *(F.get(rows, at + k) for k in range(1, WINDOW)))
+
     df = df.withColumns(
         {
-            "_words": F.filter(F.split(whole, SPACE), lambda w: w != ""),
+            "_words": F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE)),
             "_lines": F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^ \t-\r]")),
             "n_symbols": F.length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).cast("long"),
         }
@@ -103,22 +83,28 @@ def with_measures(df: DataFrame, text: str = "text") -> DataFrame:
             "n_stop_words": F.size(F.filter(rows, lambda w: w.isin(known))).cast("long"),
             "n_lines": F.size("_lines").cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "_h1": F.transform(rows, lambda w: F.xxhash64(w)),
+            "_windows": F.slice(F.transform(rows, _window), F.lit(1), F.greatest(F.size(rows) - (WINDOW - 1), F.lit(0))),
         }
     )
-    df = df.withColumn("_h2", _pairwise(F.col("_h1"), F.slice("_h1", 2, F.size("_h1"))))
-    df = df.withColumn("_h4", _pairwise(F.col("_h2"), F.slice("_h2", 3, F.size("_h2"))))
-    windows = F.greatest(F.size("_h1") - F.lit(WINDOW - 1), F.lit(0))
-    df = df.withColumn(
-        "_h5", F.slice(_pairwise(F.col("_h4"), F.slice("_h1", WINDOW, F.size("_h1"))), F.lit(1), windows)
-    )
-    ordered = F.array_sort(F.transform("_h5", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    repeat = _let(_let(ordered, _repeated_positions), _covered)
-    df = df.withColumn(
-        "n_repeat_words",
-        F.when(F.size(F.array_distinct("_h5")) < F.size("_h5"), repeat).otherwise(F.lit(0)).cast("long"),
-    )
-    return df.drop("_words", "_lines", "_h1", "_h2", "_h4", "_h5")
+    # Windows in order of their hash, the low bits replaced by the position: one array of integers to sort.
+    repeats = F.size(F.array_distinct("_windows")) < F.size("_windows")
+    df = df.withColumn("_bits", F.length(F.bin(F.size("_windows"))))
+    shift = lambda name, x: F.call_function(name, x, F.col("_bits"))
+    packed = F.transform("_windows", lambda h, i: shift("shiftleft", shift("shiftright", h)).bitwiseOR(i.cast("long")))
+    none = F.array().cast("array<bigint>")
+    df = df.withColumn("_ordered", F.when(repeats, F.sort_array(packed)).otherwise(none))
+    low = shift("shiftleft", F.lit(1).cast("long")) - 1
+    df = df.withColumn("_low", low)
+    at = lambda x: x.bitwiseAND(F.col("_low")).cast("int")
+    same = lambda a, b: F.get("_windows", at(a)) == F.get("_windows", at(b))
+    pairs = _successors("_ordered", lambda a, b: F.when(same(a, b), F.array(at(a), at(b))))
+    starts = F.array_distinct(F.flatten(F.filter(pairs, lambda p: p.isNotNull())))
+    df = df.withColumn("_starts", F.sort_array(starts))
+    # A repeated window adds the words up to the next repeated one, the whole window at most.
+    gap = lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW)))
+    covered = F.aggregate(_successors("_starts", gap), F.lit(0), lambda total, x: total + x)
+    df = df.withColumn("n_repeat_words", covered.cast("long"))
+    return df.drop("_words", "_lines", "_windows", "_bits", "_ordered", "_low", "_starts")
 
 
 def violated(rule: Rule) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import quality_rules, url_rules
+from areascore.llm import bpe, language_id, quality_rules, secret_scan, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,7 +55,7 @@ WITH d AS (
            CASE WHEN 100 * n_repeat_words > 20 * n_words THEN 'repeated' END,
            CASE WHEN n_words >= 10 AND 4 * n_symbols > n_words THEN 'symbols' END,
            CASE WHEN n_words >= 50 AND n_words > 25 * n_stop_words THEN 'stop_words' END,
-           CASE WHEN n_words >= 10 AND 10 * n_dup_lines > 3 * n_lines THEN 'duplicate_lines' END,
+           CASE WHEN n_words >= 10 AND 2 * n_dup_lines > n_lines THEN 'duplicate_lines' END,
            CASE WHEN n_words >= 10 AND word_chars > 15 * n_words THEN 'long_words' END,
            CASE WHEN n_words >= 10 AND 2 * n_words > word_chars THEN 'short_words' END) AS failed_rules
   FROM m
@@ -63,6 +63,47 @@ WITH d AS (
 SELECT *, failed_rules = '' AS kept FROM v
 """
 
+@query
+def op2_secret_scans(spark, sf_dir):
+    spans = F.sort_array("secret_spans")
+    base = F.filter(spans, lambda s: s["kind_order"] < len(secret_scan.BASE_KINDS))
+    count = lambda k: F.size(F.filter(spans, lambda s: s["kind_order"] == k)).cast("long")
+    found = secret_scan.scan(given(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS)),
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(spans).alias("spans"),
+    )
+
+
+@query
+def op7_language_id(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    part = language_id.remainder(F.col("doc_id"), 5)
+    model = language_id.train(docs.where(part != 0))
+    rows = docs.select("doc_id", F.coalesce(part == 0, F.lit(False)).alias("held_out"), "text")
+    return language_id.predict(rows, model).drop("text")
+
+
+#: Where the vocabulary file lies; a parameter of the operator.
+TOKENIZER = "word_bpe_49k.json"
+
+
+@query
+def op8_bpe_encoding(spark, sf_dir):
+    import public_tokenizers
+
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode_texts(docs, public_tokenizers.path(TOKENIZER))
+    return coded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 # The rules the query is asked for.
 URL_RULES = (
     ("com", "/", "allow"),
