@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, language_id, quality_rules, secret_scan, set_join, url_rules
+from areascore.llm import bpe, decontaminate, language_id, quality_rules, secret_scan, set_join, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -82,6 +82,13 @@ def op4_jaccard_join(spark, sf_dir):
     return set_join.join(given(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_decontamination(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, given(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 @query
 def op7_language_id(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select("doc_id", "text", "lang")
