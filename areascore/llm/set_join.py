@@ -35,10 +35,10 @@ from areascore.llm.words import ODD, WordHashes, mixed, shingle_sets, split_word
 from areascore.sources.storage import stage
 
 BAND_RATIO = 1.5
-SLACK = 0.12
+SLACK = 0.05
 IMAGE_WORDS = 8
 #: Weight of a needless candidate against one index entry, and the share of shingles that are common.
-CANDIDATE_WEIGHT, COMMON = 1000.0, 0.25
+CANDIDATE_WEIGHT, COMMON = 100.0, 0.25
 
 
 def least_partner(size: int, percent: int) -> int:
@@ -191,6 +191,12 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
+def _items(rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """Whole sets of the documents in ``pairs``, written once."""
+    needed = stage(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct(), "needed")
+    return stage(packed(rows.join(needed, "id", "left_semi"), shingle).dropDuplicates(["id"]), "items")
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
     """Rows (key, n_shingles, component_id), one per row of ``docs``."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -223,10 +229,9 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
         return 100 * both >= percent * (n_a + n_b - both)
 
     near = stage(side(side(pairs, "b"), "a").where(possible()).select("a", "b"), "near")
+    # Sets are fetched for the documents of pairs that pass, read by id; few of them make a broadcast join.
+    links = stage(verified(near, _items(rows, near, shingle), percent), "links")
     # Groups left with several components after the first links: pairs across components, under the bound.
-    needed = members.join(first.select("entry"), "entry", "left_semi").select("id").distinct()
-    sets = stage(packed(rows.join(needed, "id", "left_semi"), shingle).dropDuplicates(["id"]), "items")
-    links = stage(verified(near, sets, percent), "links")
     label = components(links)
     labelled = members.join(first.select("entry"), "entry", "left_semi").join(label, "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
@@ -237,8 +242,8 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     one = side(rest.select("entry", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
     two = side(rest.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
     across = one.join(two, "entry").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & possible())
-    across = across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verified(across, sets, percent)
+    across = stage(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    more = verified(across, _items(rows, across, shingle), percent)
     everything = links.unionAll(more).unionAll(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
     final = components(everything)
     return known.select("id", "n").join(final, "id", "left").select(
