@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, decontaminate, language_id, quality_rules, secret_scan, set_join, url_rules
+from areascore.llm import bpe, decontaminate, hidden_markov, language_id, quality_rules, secret_scan, set_join, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,6 +89,12 @@ def op5_decontamination(spark, sf_dir):
     return marked.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
 
 
+@query
+def op6_lm_scoring(spark, sf_dir):
+    docs = given(spark, sf_dir, "documents").select("doc_id", "text")
+    return hidden_markov.score(docs, language_id.remainder(F.col("doc_id"), 7) != 2)
+
+
 @query
 def op7_language_id(spark, sf_dir):
     docs = given(spark, sf_dir, "documents").select("doc_id", "text", "lang")

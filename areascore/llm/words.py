@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import xxhash
 
@@ -23,7 +25,7 @@ class WordHashes(dict):
         """Hashes of all words in a row, and where each text ends."""
         ends = np.cumsum(np.fromiter((len(w) for w in many), np.int64, len(many)))
         total = int(ends[-1]) if len(many) else 0
-        hashes = np.fromiter((self[w] for words in many for w in words), np.uint64, total)
+        hashes = np.fromiter(map(self.__getitem__, chain.from_iterable(many)), np.uint64, total)
         return hashes, ends
 
 
