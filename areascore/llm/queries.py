@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, decontaminate, hidden_markov, language_id, quality_rules, secret_scan, set_join, url_rules
+from areascore.llm import bpe, decontaminate, hidden_markov, language_id, quality_rules, secret_scan, set_join, suffix_dedup, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -77,6 +77,12 @@ def op2_secret_scans(spark, sf_dir):
     )
 
 
+@query
+def op3_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup.removed(given(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op4_jaccard_join(spark, sf_dir):
     return set_join.join(given(spark, sf_dir, "documents").select("doc_id", "text"))
