@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, decontaminate, hidden_markov, language_id, quality_rules, secret_scan, set_join, suffix_dedup, url_rules
+from areascore.llm import bpe, decontaminate, hidden_markov, language_id, passage_chain, quality_rules, secret_scan, set_join, suffix_dedup, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -128,6 +128,11 @@ def op8_bpe_encoding(spark, sf_dir):
     )
 
 
+@query
+def op9_passage_chains(spark, sf_dir):
+    return passage_chain.passages(given(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # The rules the query is asked for.
 URL_RULES = (
     ("com", "/", "allow"),
