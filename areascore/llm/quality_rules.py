@@ -118,4 +118,6 @@ def apply_rules(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     names = F.concat_ws(",", *(F.when(violated(r), F.lit(r.name)) for r in BASE_RULES + rules))
     base = violated(BASE_RULES[0]) | violated(BASE_RULES[1])
     measured = with_measures(df, text).withColumns({"base_failed": base, "failed_rules": names})
-    return measured.withColumn("kept", F.col("failed_rules") == "")
+    # The row number, always 0 or more, keeps a filter on ``kept`` above the projection: pushed below it, the
+    # filter would hold a copy of every measure for each place that uses it.
+    return measured.withColumn("kept", (F.col("failed_rules") == "") & (F.monotonically_increasing_id() >= 0))
