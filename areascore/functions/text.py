@@ -8,6 +8,7 @@ the Python runtime; the work itself stays in JVM expressions.
 
 from __future__ import annotations
 
+import itertools
 import re
 import sys
 import unicodedata
@@ -77,13 +78,15 @@ def header_name(raw: str) -> str:
 
 
 def header_names(raw: list[str]) -> list[str]:
-    """Normalised names; the second and later uses of a name get ``_2``, ``_3``, ..."""
-    uses: dict[str, int] = {}
-    names = []
-    for name in map(header_name, raw):
-        uses[name] = uses.get(name, 0) + 1
-        names.append(name if uses[name] == 1 else f"{name}_{uses[name]}")
-    return names
+    """Normalised names, all different: a name that is taken gets the next free number from 2 on."""
+    plain = [header_name(column) for column in raw]
+    taken: set[str] = set()
+    for at, name in enumerate(plain):
+        # Numbers also stay clear of names that occur as such.
+        numbered = (f"{name}_{k}" for k in itertools.count(2))
+        plain[at] = name if name not in taken else next(n for n in numbered if n not in taken and n not in plain)
+        taken.add(plain[at])
+    return plain
 
 
 def header_name_column(raw: Column) -> Column:

@@ -87,9 +87,10 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact median per column, from the frequency table rather than from sorted rows."""
-    counts = value_counts(df, columns)
-    up_to = Window.partitionBy("pillar").orderBy("hundredths")
+    """Exact median per column, from the frequency of each value rather than from sorted rows."""
+    values = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], list(columns), "pillar", "value")
+    counts = values.where(F.col("value").isNotNull()).groupBy("pillar", "value").agg(F.count(F.lit(1)).alias("n"))
+    up_to = Window.partitionBy("pillar").orderBy("value")
     whole = Window.partitionBy("pillar")
     placed = counts.withColumn("_last", F.sum("n").over(up_to)).withColumn("_all", F.sum("n").over(whole))
     first = F.col("_last") - F.col("n") + 1
@@ -97,7 +98,7 @@ def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     lower = F.expr("(_all + 1) div 2")
     upper = F.expr("(_all + 2) div 2")
     middle = placed.groupBy("pillar").agg(
-        F.max(F.when(covers(lower), F.col("hundredths"))).alias("_lower"),
-        F.max(F.when(covers(upper), F.col("hundredths"))).alias("_upper"),
+        F.max(F.when(covers(lower), F.col("value"))).alias("_lower"),
+        F.max(F.when(covers(upper), F.col("value"))).alias("_upper"),
     )
-    return middle.select("pillar", ((F.col("_lower") + F.col("_upper")) / 200.0).alias("median"))
+    return middle.select("pillar", ((F.col("_lower") + F.col("_upper")) / 2.0).alias("median"))

@@ -67,7 +67,7 @@ def run_chain(
         except Exception as error:
             if run_log:
                 audit.append_model_run(
-                    spark, run_log, **record, status="ERROR", error_message=str(error)[:2000]
+                    spark, run_log, **record, status="ERROR", error_message=str(error)
                 )
             raise
         counts[name] = watched.get["rows"]
@@ -111,7 +111,7 @@ def gate(
     """Test the tables of one layer; raise if any rule or reference is broken."""
     own = {n: t for n, t in tables.items() if n.startswith(stage_name)}
     results = rules.evaluate_tables(own, table_rules)
-    failed = results.where("NOT success").select("table_name", "kind", "column_name").take(20)
+    failed = results.where("NOT success").select("table_name", "kind", "column_name").collect()
     broken = [
         r["table_name"]
         for r in rules.evaluate_references(

@@ -64,7 +64,7 @@ def read_source(
 ) -> DataFrame:
     """Text columns of a source, whatever it is wrapped in."""
     if detected == "csv":
-        return normalize_headers(scan_delimited(spark, path, spec.separator, spec.encoding))
+        return normalize_headers(scan_delimited(spark, path, spec.separator, spec.encoding, multiline=spec.multiline))
     if detected == "zip_csv":
         files = read_containers(spark, path)
         rows = scan_zip_members(files, columns, spec.separator, spec.encoding, spec.member_pattern)
@@ -106,7 +106,7 @@ def _logged(spark: SparkSession, spec: SourceSpec, path: str, log: str, run_id:
     try:
         rows, checksum, size, detected = job()
     except Exception as error:
-        audit.try_append_load(spark, log, **record, status="FAILED", error_message=str(error)[:2000])
+        audit.try_append_load(spark, log, **record, status="FAILED", error_message=str(error))
         raise
     record |= {"row_count": rows, "checksum_md5": checksum, "file_size_bytes": size}
     audit.try_append_load(spark, log, **record, status="SUCCESS")

@@ -24,6 +24,7 @@ class SourceSpec:
     member_pattern: str | None = None
     licence: str = "Etalab 2.0"
     internal: bool = False
+    multiline: bool = False  # quoted cells may hold line breaks; such a file is not split
 
 
 # Source ids, vintages, formats, key columns and row bounds.

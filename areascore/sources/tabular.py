@@ -182,11 +182,15 @@ LANDING_KEYS = ("source_id", "millesime", "run_ts")
 
 
 def land(df: DataFrame, root: str, source_id: str, vintage: str, run_ts: str) -> None:
-    """Add one run of one source to the landing area, one directory per source, vintage and run."""
+    """Put one run of one source into the landing area, one directory per source, vintage and run.
+
+    A run that is repeated replaces its own directory and no other.
+    """
     stamped = df.withColumns(
         {"source_id": F.lit(source_id), "millesime": F.lit(vintage), "run_ts": F.lit(run_ts)}
     )
-    stamped.write.mode("append").partitionBy(*LANDING_KEYS).parquet(root)
+    writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*LANDING_KEYS).parquet(root)
 
 
 def landed(

@@ -180,3 +180,7 @@ def test_folding_equals_decomposing_the_whole_string(spark, texts):
     df = spark.createDataFrame(rows, "i int, t string").select("i", ascii_fold(F.col("t")).alias("f"))
     got = {r["i"]: r["f"] for r in df.collect()}
     assert got == {i: fold_to_ascii(t).strip() or "n-a" for i, t in rows}
+
+
+def test_header_names_never_clash():
+    assert header_names(["a", "a", "a 2"]) == ["a", "a_3", "a_2"]

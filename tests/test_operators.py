@@ -147,3 +147,9 @@ def test_sums_stay_exact_for_large_tables(spark):
         F.lit(Decimal("123456.78")).alias("x"), F.lit(Decimal("10000000.123456")).cast("decimal(18,6)").alias("w")
     )
     assert df.agg(weighted_mean(F.col("x"), F.col("w"))).first()[0] == Decimal("123456.78")
+
+
+def test_medians_keep_all_decimals(spark):
+    values = [k / 1000 + 0.0055 for k in range(5)]
+    rows = spark.createDataFrame([(v,) for v in values], "a double")
+    assert profile.medians(rows, ["a"]).first()["median"] == values[2]

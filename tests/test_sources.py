@@ -192,3 +192,12 @@ def test_staged_tables_live_in_the_shared_folder(spark):
     staged = storage.stage(spark.range(10), "ten")
     assert staged.count() == 10
     assert storage.shared_folder(spark) in staged.inputFiles()[0]
+
+
+def test_a_repeated_run_replaces_itself(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    rows = spark.createDataFrame([("1",), ("2",)], "a string")
+    for run, frame in (("r1", rows), ("r2", rows), ("r2", rows.limit(1))):
+        tabular.land(frame, root, "S1", "2021", run)
+    assert tabular.landed(spark, root, ["a"], "S1", "r1").count() == 2
+    assert tabular.landed(spark, root, ["a"], "S1", "r2").count() == 1
