@@ -2,9 +2,10 @@
 
 Words are counted over all training documents. The most frequent ones (CLASSES at most) are symbols of their
 own, every other word belongs to one more symbol, within which words have add-one probabilities from their
-counts; so every text has a proper probability. Each Baum-Welch round is one pass: tasks run scaled forward
-and backward recursions over many documents at once and return expected counts, which are summed up by
-symbol across partitions. Scoring runs the scaled forward recursion over whole texts, which is exact.
+counts; so every text has a proper probability. Texts are read twice, to count words and to write their symbols
+(two bytes a token); each Baum-Welch round is one pass over the symbols: tasks run scaled forward and backward
+recursions over many documents at once and return expected counts, which are summed up by symbol across
+partitions. Scoring runs the scaled forward recursion over whole texts, which is exact.
 
 Words with at least 1/2^20 of all tokens, hence at most 2^20 of them, are sent to the tasks with their counts;
 the counts of all other words are joined to the documents that have them.
@@ -36,8 +37,11 @@ HEAD_SHARE = 1 << 20
 #: No word holds a line end.
 END_WORD = b"\n"
 COUNTED_WORDS = 300_000
-CHUNK = 6 << 20
-FLOOR = 1e-300
+#: Bytes of text, and of symbols, that a task works on at once.
+CHUNK, SYMBOL_CHUNK = 6 << 20, 2 << 20
+STEP_TOKENS = 1 << 15
+#: CLASSES + 1 symbols fit.
+SYMBOL = np.dtype("<u2")
 
 
 def signed(hashes: np.ndarray) -> np.ndarray:
@@ -125,53 +129,78 @@ class Model:
 
 
 class Forward:
-    """Scaled recursions over many sequences at once, the longest first."""
+    """Scaled recursions over many sequences at once.
 
-    def __init__(self, model: Model, symbols: np.ndarray, ends: np.ndarray) -> None:
-        self.model, self.symbols = model, symbols
+    Tokens lie by step, the longest sequence first in each, so that a step reads and writes one slice.
+    """
+
+    def __init__(self, model: Model, symbols: np.ndarray, ends: np.ndarray, kind: type = np.float64) -> None:
+        self.start, self.moves, self.emits = (m.astype(kind) for m in (model.start, model.moves, model.emits))
         sizes = np.diff(ends, prepend=0)
         self.order = np.argsort(-sizes, kind="stable")
-        self.sizes, self.begins = sizes[self.order], (ends - sizes)[self.order]
-        longest = int(self.sizes[0]) if len(sizes) else 0
-        # How many sequences are longer than t.
-        self.active = np.searchsorted(-self.sizes, -np.arange(longest), "left")
-
-    def likelihood(self, keep: bool = False):
-        """log10 probability of each sequence; with ``keep`` also the scaled forward rows and their scales."""
-        model, n = self.model, len(self.sizes)
-        logs = np.zeros(n)
-        rows = np.zeros((len(self.symbols), len(model.start)), np.float64) if keep else None
-        scales = np.zeros(len(self.symbols)) if keep else None
-        now = np.zeros((0, len(model.start)))
-        for t, k in enumerate(self.active):
-            at = self.begins[:k] + t
-            emit = model.emits[self.symbols[at]]
-            now = (model.start * emit) if t == 0 else (now[:k] @ model.moves) * emit
-            scale = np.maximum(now.sum(1), FLOOR)
-            now /= scale[:, None]
-            logs[:k] += np.log10(scale)
-            if keep:
-                rows[at], scales[at] = now, scale
-        out = np.empty(n)
-        out[self.order] = logs
-        return (out, rows, scales) if keep else out
-
-    def expected(self):
-        """Expected starts, moves and emissions of all sequences."""
-        model = self.model
-        _, rows, scales = self.likelihood(keep=True)
-        moves = np.zeros_like(model.moves)
-        back = np.ones((len(self.sizes), len(model.start)))
-        for t in range(len(self.active) - 1, 0, -1):
-            k = self.active[t]
-            at = self.begins[:k] + t
-            carry = back[:k] * model.emits[self.symbols[at]] / scales[at][:, None]
-            moves += rows[at - 1].T @ carry
-            rows[at] *= back[:k]
-            back[:k] = carry @ model.moves.T
-        if len(self.sizes):
-            rows[self.begins] *= back
-        return rows[self.begins].sum(0), moves * model.moves, rows
+        sizes, begins = sizes[self.order], (ends - sizes)[self.order]
+        longest = int(sizes[0]) if len(sizes) else 0
+        # How many sequences are longer than t, and where step t begins.
+        self.active = np.searchsorted(-sizes, -np.arange(longest), "left")
+        self.at = np.concatenate([[0], np.cumsum(self.active)]).astype(np.int64)
+        self.nth = np.arange(self.at[-1]) - np.repeat(self.at[:-1], self.active)
+        self.symbols = symbols[begins[self.nth] + np.repeat(np.arange(longest), self.active)]
+        self.floor = np.finfo(kind).tiny
+
+    def _blocks(self) -> list[tuple[int, int]]:
+        """Ranges of steps whose emissions are looked up together."""
+        out, low = [], 0
+        while low < len(self.active):
+            high = max(low + 1, int(np.searchsorted(self.at, self.at[low] + STEP_TOKENS, "right")) - 1)
+            out.append((low, high))
+            low = high
+        return out
+
+    def _forward(self, keep: bool) -> tuple[np.ndarray, np.ndarray | None]:
+        """Scale of each token and, with ``keep``, the scaled forward rows."""
+        kind, states = self.emits.dtype, len(self.start)
+        scales = np.empty(len(self.symbols), kind)
+        rows = np.empty((len(self.symbols), states), kind) if keep else None
+        now, ones = None, np.ones(states, kind)
+        for low, high in self._blocks():
+            begin = self.at[low]
+            emit = self.emits[self.symbols[begin : self.at[high]]]
+            for t in range(low, high):
+                a, b = self.at[t], self.at[t + 1]
+                now = self.start * emit[: b - begin] if t == 0 else (now[: b - a] @ self.moves) * emit[a - begin : b - begin]
+                scale = np.maximum(now @ ones, self.floor)
+                now /= scale[:, None]
+                scales[a:b] = scale
+                if keep:
+                    rows[a:b] = now
+        return scales, rows
+
+    def likelihood(self) -> np.ndarray:
+        """log10 probability of each sequence."""
+        scales, _ = self._forward(keep=False)
+        out = np.empty(len(self.order))
+        out[self.order] = np.bincount(self.nth, np.log10(scales), minlength=len(self.order))
+        return out
+
+    def expected(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected starts and moves of all sequences, and the states of each token of ``symbols``."""
+        scales, rows = self._forward(keep=True)
+        moves = np.zeros(self.moves.shape)
+        back = np.ones((len(self.order), len(self.start)), self.emits.dtype)
+        turned = np.ascontiguousarray(self.moves.T)
+        for low, high in reversed(self._blocks()):
+            begin = self.at[low]
+            emit = self.emits[self.symbols[begin : self.at[high]]] / scales[begin : self.at[high], None]
+            for t in range(high - 1, max(low, 1) - 1, -1):
+                a, b = self.at[t], self.at[t + 1]
+                carry = back[: b - a] * emit[a - begin : b - begin]
+                before = self.at[t - 1]
+                moves += rows[before : before + b - a].T @ carry
+                rows[a:b] *= back[: b - a]
+                back[: b - a] = carry @ turned
+        first = rows[: len(self.order)]
+        first *= back
+        return first.sum(0, dtype=np.float64), moves * self.moves, rows
 
 
 def initial(head: Head, states: int = STATES, seed: int = 5) -> Model:
@@ -186,28 +215,34 @@ def initial(head: Head, states: int = STATES, seed: int = 5) -> Model:
     return Model(np.full(states, 1.0 / states), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
-def improved(rows: DataFrame, head, model: Model) -> Model:
-    """One Baum-Welch round over all ``rows``; ``head`` is a broadcast."""
+def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Symbols of all rows in a row, and where each row ends."""
+    many = batch.column("symbols").to_pylist()
+    ends = np.cumsum(np.fromiter(map(len, many), np.int64, len(many))) // SYMBOL.itemsize
+    return np.frombuffer(b"".join(many), SYMBOL).astype(np.int32), ends
+
+
+def improved(rows: DataFrame, classes: int, model: Model) -> Model:
+    """One Baum-Welch round over the ``symbols`` of all ``rows``."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
-    states, classes = len(model.start), head.value.classes
+    states = len(model.start)
     names = [f"s{k}" for k in range(states)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, hashes = shared.value, WordHashes()
+        own = shared.value
         total = np.zeros((classes + 2 + states, states))
-        for batch in chunks(batches, limit=CHUNK):
-            flat, ends = tokens_of(texts(batch), hashes)
-            symbols = head.value.symbol(head.value.find(flat))
-            start, moves, emitted = Forward(own, symbols, ends).expected()
+        for batch in chunks(batches, "symbols", SYMBOL_CHUNK):
+            recursion = Forward(own, *_sequences(batch), np.float32)
+            start, moves, emitted = recursion.expected()
             for k in range(states):
-                total[: classes + 1, k] += np.bincount(symbols, emitted[:, k], minlength=classes + 1)
+                total[: classes + 1, k] += np.bincount(recursion.symbols, emitted[:, k], minlength=classes + 1)
             total[classes + 1] += start
             total[classes + 2 :] += moves
         used = np.flatnonzero(total.any(1))
         columns = [pa.array(used), *(pa.array(np.ascontiguousarray(total[used, k])) for k in range(states))]
         yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
 
-    partial = rows.select("text").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
+    partial = rows.select("symbols").mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
     summed = partial.groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toPandas()  # CLASSES + STATES + 2 rows at most
     total = np.zeros((classes + 2 + states, states))
     total[summed["row"].to_numpy(np.int64)] = summed[names].to_numpy()
@@ -215,29 +250,22 @@ def improved(rows: DataFrame, head, model: Model) -> Model:
     return Model(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
-def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """Rows (key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.coalesce(training, F.lit(True)).alias("training"))
-    learnt = rows.where("training")
-    vocabulary = stage(word_counts(learnt), "vocabulary")
-    head = spark.sparkContext.broadcast(head_of(vocabulary))
-    model = initial(head.value)
-    for _ in range(rounds):
-        model = improved(learnt, head, model)
-    shared = spark.sparkContext.broadcast(model)
-    facts = head.value
-    size, rest = facts.tokens + facts.distinct + 1, facts.rest_tokens + facts.rest_distinct + 1
+def coded(rows: DataFrame, head, size: int, rest: int) -> DataFrame:
+    """Each row of (key, text, training) with its symbols, the sums over its frequent words, and its other words.
+
+    ``head`` is a broadcast; ``row`` is a hash of the text.
+    """
+    counted = T.ArrayType(T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())]))
     pair = pa.list_(pa.struct([("word", pa.int64()), ("n", pa.int64())]))
     schema = T.StructType(
         [f for f in rows.schema if f.name != "text"]
-        + [T.StructField("row", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType())]
-        + [T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
-        + [T.StructField("rare", T.ArrayType(T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])))]
+        + [T.StructField(n, T.LongType()) for n in ("row", "n_tokens", "n_known")]
+        + [T.StructField(n, T.DoubleType()) for n in ("base_score", "within")]
+        + [T.StructField("symbols", T.BinaryType()), T.StructField("rare", counted)]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, known, hashes = shared.value, head.value, WordHashes()
+        known, hashes = head.value, WordHashes()
         inner = known.symbols < known.classes
         base = np.log10((known.counts + 1.0) / size)
         within = np.where(inner, 0.0, np.log10((known.counts + 1.0) / rest))
@@ -247,10 +275,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
             place = known.find(flat)
             owner = np.repeat(np.arange(len(plain)), np.diff(ends, prepend=0))
             found = place >= 0
-            value = Forward(own, known.symbol(place), ends).likelihood()
-            value += np.bincount(owner[found], within[place[found]], minlength=len(plain))
-            plain_score = np.bincount(owner[found], base[place[found]], minlength=len(plain))
-            n_known = np.bincount(owner[found], minlength=len(plain))
+            sums = lambda values: np.bincount(owner[found], values, minlength=len(plain))
             rare: list[list[dict]] = [[] for _ in plain]
             if not found.all():
                 cells = np.stack([owner[~found], flat[~found]], 1)
@@ -258,13 +283,45 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
                 for (doc, word), times in zip(cells.tolist(), n.tolist(), strict=True):
                     rare[doc].append({"word": word, "n": times})
             row = [xxhash.xxh3_64_intdigest(t.encode("utf-8", "surrogatepass")) - (1 << 63) for t in plain]
+            symbols = known.symbol(place).astype(SYMBOL)
+            cut = [symbols[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("training"), pa.array(row, pa.int64()), pa.array(np.diff(ends, prepend=0))]
-                + [pa.array(n_known.astype(np.int64)), pa.array(plain_score), pa.array(value), pa.array(rare, pair)],
+                + [pa.array(sums(None).astype(np.int64)), pa.array(sums(base[place[found]])), pa.array(sums(within[place[found]]))]
+                + [pa.array(cut, pa.binary()), pa.array(rare, pair)],
                 names=schema.names,
             )
 
-    local = stage(rows.mapInArrow(run, schema), "scored")
+    return rows.mapInArrow(run, schema)
+
+
+def likelihoods(rows: DataFrame, model: Model) -> DataFrame:
+    """Replace ``symbols`` by ``score``, the exact log10 probability of the sequence."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    kept = [n for n in rows.columns if n != "symbols"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "symbols", SYMBOL_CHUNK):
+            value = Forward(shared.value, *_sequences(batch)).likelihood()
+            columns = [batch.column(n) for n in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(value)], names=[*kept, "score"])
+
+    return rows.mapInArrow(run, T.StructType([rows.schema[n] for n in kept] + [T.StructField("score", T.DoubleType())]))
+
+
+def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+    """Rows (key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row of ``docs``."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.coalesce(training, F.lit(True)).alias("training"))
+    learnt = rows.where("training")
+    vocabulary = stage(word_counts(learnt), "vocabulary")
+    head = spark.sparkContext.broadcast(head_of(vocabulary))
+    facts = head.value
+    size, rest = facts.tokens + facts.distinct + 1, facts.rest_tokens + facts.rest_distinct + 1
+    local = stage(coded(rows, head, size, rest), "coded")
+    model = initial(facts)
+    for _ in range(rounds):
+        model = improved(local.where("training"), facts.classes, model)
     # Rows of one key and text are the same document: their rare words are looked up together and shared out.
     local = local.withColumn("row", F.xxhash64("key", "row"))
     asked = local.select("row", F.explode("rare").alias("rare")).select("row", "rare.word", "rare.n")
@@ -274,7 +331,8 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         F.sum(F.col("n") * F.log10((F.col("c") + 1.0) / float(size))).alias("more_base"),
         F.sum(F.col("n") * F.log10((F.col("c") + 1.0) / float(rest))).alias("more_score"),
     )
-    same = local.groupBy("row", "key", "training", "n_tokens", "n_known", "base_score", "score").agg(F.count(F.lit(1)).alias("copies"))
+    scored = likelihoods(local.drop("rare"), model).withColumn("score", F.col("score") + F.col("within"))
+    same = scored.groupBy("row", "key", "training", "n_tokens", "n_known", "base_score", "score").agg(F.count(F.lit(1)).alias("copies"))
     part = lambda name: F.coalesce(F.col(name) / F.col("copies"), F.lit(0.0))
     out = same.join(looked, "row", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(

@@ -231,6 +231,32 @@ def test_forward_is_exact():
         assert abs(np.log10(total) - value) < 1e-9
 
 
+@pytest.mark.parametrize("block", [1, 4, 1 << 15])
+def test_expected_counts(monkeypatch, block):
+    monkeypatch.setattr(hidden_markov, "STEP_TOKENS", block)
+    rng = np.random.default_rng(4)
+    pick = lambda *shape: rng.dirichlet(np.ones(shape[-1]), shape[:-1])
+    model = hidden_markov.Model(pick(3), pick(3, 3), pick(3, 5).T.copy())
+    texts = [rng.integers(0, 5, n) for n in (1, 4, 2, 5)]
+    recursion = hidden_markov.Forward(model, np.concatenate(texts), np.cumsum([len(t) for t in texts]))
+    start, moves, states = recursion.expected()
+    want_start, want_moves, want_emits = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
+    for text in texts:
+        paths = list(np.ndindex(*[3] * len(text)))
+        weights = []
+        for path in paths:
+            p = model.start[path[0]] * np.prod([model.emits[x, s] for x, s in zip(text, path, strict=True)])
+            weights.append(p * np.prod([model.moves[a, b] for a, b in zip(path, path[1:], strict=False)]))
+        for path, weight in zip(paths, np.array(weights) / sum(weights), strict=True):
+            want_start[path[0]] += weight
+            for a, b in zip(path, path[1:], strict=False):
+                want_moves[a, b] += weight
+            for x, s in zip(text, path, strict=True):
+                want_emits[x, s] += weight
+    emits = np.stack([np.bincount(recursion.symbols, states[:, k], minlength=5) for k in range(3)], 1)
+    assert np.allclose(start, want_start) and np.allclose(moves, want_moves) and np.allclose(emits, want_emits)
+
+
 def test_language_id(spark, nothing):
     rnd = random.Random(8)
     build = lambda letters: " ".join("".join(rnd.choice(letters) for _ in range(5)) for _ in range(30))
