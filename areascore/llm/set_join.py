@@ -197,6 +197,21 @@ def _items(rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     return stage(packed(rows.join(needed, "id", "left_semi"), shingle).dropDuplicates(["id"]), "items")
 
 
+def _joined_across(rest, rows, side, possible, pairs, label, shingle: int, percent: int) -> DataFrame:
+    """``label`` after links between different components of a group; only the components are joined anew."""
+    one = side(rest.select("entry", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
+    two = side(rest.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
+    across = one.join(two, "entry").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & possible)
+    across = stage(across.select("a", "b", "ca", "cb").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    if across.isEmpty():
+        return label
+    more = verified(across, _items(rows, across, shingle), percent).join(across, ["a", "b"])
+    moved = components(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    known = label.unionAll(moved.select("id", F.col("id").alias("component"))).groupBy("id").agg(F.min("component").alias("old"))
+    moved = moved.select(F.col("id").alias("old"), F.col("component").alias("new"))
+    return known.join(moved, "old", "left").select("id", F.coalesce("new", "old").alias("component"))
+
+
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
     """Rows (key, n_shingles, component_id), one per row of ``docs``."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
@@ -232,20 +247,15 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     # Sets are fetched for the documents of pairs that pass, read by id; few of them make a broadcast join.
     links = stage(verified(near, _items(rows, near, shingle), percent), "links")
     # Groups left with several components after the first links: pairs across components, under the bound.
-    label = components(links)
+    label = stage(components(links.unionAll(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))), "label")
     labelled = members.join(first.select("entry"), "entry", "left_semi").join(label, "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("c"))
     # Of a group of two, both are tested already.
     open_ = open_.where("x <> y AND c > 2").select("entry")
     rest = stage(labelled.join(open_, "entry", "left_semi"), "rest")
-    one = side(rest.select("entry", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
-    two = side(rest.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-    across = one.join(two, "entry").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & possible())
-    across = stage(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
-    more = verified(across, _items(rows, across, shingle), percent)
-    everything = links.unionAll(more).unionAll(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))
-    final = components(everything)
-    return known.select("id", "n").join(final, "id", "left").select(
+    if not rest.isEmpty():
+        label = _joined_across(rest, rows, side, possible(), pairs, label, shingle, percent)
+    return known.select("id", "n").join(label, "id", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
