@@ -19,6 +19,7 @@ from areascore.quality.contracts import ContractError, missing_columns, require_
 from areascore.settings import SOURCES, SourceSpec
 from areascore.sources.containers import (
     detect_format,
+    is_container,
     read_containers,
     scan_below_header,
     scan_layer_attributes,
@@ -36,27 +37,33 @@ from areascore.sources.tabular import (
 )
 
 MAX_CONTAINER = 2**31 - 1
-# A source has files of one kind; a handful of suffixes is enough to notice that it does not.
-MAX_SUFFIXES = 10
 
 
 def source_format(spark: SparkSession, spec: SourceSpec, path: str) -> str:
-    """Format of the files of a source, which must be one and the same.
+    """Format of the files of a source, which must be one and the same; every file is judged.
 
-    Files of one source with one suffix are alike, so the smallest of each suffix is opened, not all of
-    them. Anything larger than a binary cell cannot be a container and is left to the hint.
+    A file that is too large for a binary cell is judged by its first line: it may be text of any size, but
+    a container cannot be opened and stops the load.
     """
-    listing = spark.read.format("binaryFile").load(path).where(F.col("length") <= MAX_CONTAINER)
-    suffix = F.lower(F.regexp_extract("path", r"\.([A-Za-z0-9]{1,7})$", 1))
-    smallest = listing.groupBy(suffix.alias("suffix")).agg(F.min_by("path", "length").alias("path"))
-    opened = [row["path"] for row in smallest.take(MAX_SUFFIXES)]
-    if not opened:
-        return spec.file_format
-    detected = detect_format(read_containers(spark, opened), spec.file_format)
-    found = {row["detected_format"] for row in detected.select("detected_format").take(MAX_SUFFIXES)}
-    if len(found) > 1:
-        raise ValueError(f"{spec.source_id}: files of different formats {sorted(found)}")
-    return found.pop()
+    small = spark.read.format("binaryFile").load(path).where(F.col("length") <= MAX_CONTAINER)
+    lines = spark.read.text(path).where(F.col("_metadata.file_size") > MAX_CONTAINER)
+    heads = (
+        lines.where("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("_id"))
+        .groupBy("path")
+        .agg(F.min_by("value", "_id").cast("binary").alias("content"))
+    )
+    container = is_container(F.col("content"))
+    closed = F.when(container, F.lit("too large to open"))
+    large = detect_format(heads.withColumn("content", F.when(~container, F.col("content"))), spec.file_format)
+    judged = detect_format(small.select("path", "content"), spec.file_format).select("path", "detected_format")
+    large = large.join(heads.select("path", closed.alias("_closed")), "path")
+    large = large.select("path", F.coalesce("_closed", "detected_format").alias("detected_format"))
+    both = judged.unionAll(large).groupBy("detected_format").agg(F.min("path").alias("path"))
+    found = {row["detected_format"]: row["path"] for row in both.collect()}  # one row per format
+    if len(found) > 1 or "too large to open" in found:
+        raise ValueError(f"{spec.source_id}: files of different formats {dict(sorted(found.items()))}")
+    return next(iter(found), spec.file_format)
 
 
 def read_source(

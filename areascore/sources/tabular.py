@@ -23,6 +23,8 @@ WINDOWS_1252 = {
 # Bytes the Windows code page leaves undefined: a file that has one is Latin-1.
 UNDEFINED_1252 = r"[\x81\x8d\x8f\x90\x9d]"
 LATIN_1 = "ISO-8859-1"
+# Column of rows whose number of cells is not that of the header.
+ODD_ROW = "_odd_row"
 
 
 def all_strings(names: Sequence[str]) -> T.StructType:
@@ -39,7 +41,9 @@ def scan_delimited(
 ) -> DataFrame:
     """Delimited files with a header, nothing inferred; an empty cell is NULL, quoted or not.
 
-    Cells with line breaks need ``multiline``, which makes a file unsplittable.
+    A short row is filled with NULL. A row with more cells than the header, or with a quote that its line does
+    not close, fails the job instead of losing data. Cells with line breaks need ``multiline``, which makes
+    a file unsplittable.
     """
     reader = (
         spark.read.option("header", True)
@@ -50,9 +54,19 @@ def scan_delimited(
         .option("multiLine", multiline)
         .option("enforceSchema", False)
     )
-    if columns is not None:
-        reader = reader.schema(all_strings(columns))
-    return reader.csv(path if isinstance(path, str) else list(path))
+    files = path if isinstance(path, str) else list(path)
+    names = list(columns) if columns is not None else reader.csv(files).columns
+    if not names:
+        return reader.csv(files)
+    odd = reader.option("columnNameOfCorruptRecord", ODD_ROW).option("columnPruning", False)
+    rows = odd.schema(all_strings([*names, ODD_ROW])).csv(files)
+    plain = F.regexp_replace(ODD_ROW, '"([^"]|"")*"', "")
+    surplus = F.regexp_count(plain, F.lit(_literal(sep))) >= len(names)
+    lossy = F.col(ODD_ROW).isNotNull() & (surplus | F.contains(plain, F.lit('"')))
+    # A condition on the odd row alone may not be read from a text file, so a named column is in it too.
+    told = F.concat(F.lit(f"cells beyond the {len(names)} of the header, or an open quote: "), ODD_ROW, F.substring(F.coalesce(F.col(f"`{names[0]}`"), F.lit("")), 1, 0))
+    kept = rows.where(F.when(lossy, F.raise_error(told).cast("boolean")).otherwise(True))
+    return kept.select(*(f"`{n}`" for n in names))
 
 
 def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
