@@ -21,7 +21,7 @@ from check import TABLES, table
 
 # Queries that build all tables again are left to check.py; their operators are covered here.
 SLOW = ("run_", "q_not_null", "q_unique", "q_range", "q_relationships", "q_referential_complete")
-CHECKED = [name for name in queries() if not name.startswith(SLOW)]
+CHECKED = [name for name in oracle_sql() if not name.startswith(SLOW)]
 
 
 @pytest.fixture(scope="module")
@@ -47,7 +47,8 @@ def test_query_equals_sql(spark, other_engine, stored, monkeypatch, name):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    # Training-data queries beyond SQL are held against brute force in tests/llm.
+    assert set(catalog.QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
