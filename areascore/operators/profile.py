@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from areascore.functions.numbers import mean
 
@@ -37,38 +39,36 @@ def correlation(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Frequency of each known value of each column, values as whole hundredths.
+    """Frequency of each known value of each column.
 
     For scores between 0 and 100 with two decimals this is at most 10 001 rows per column.
     """
-    hundredths = [(F.col(c) * 100).cast("bigint").alias(c) for c in columns]
-    long = df.select(*hundredths).unpivot([], list(columns), "pillar", "hundredths")
-    return (
-        long.where(F.col("hundredths").isNotNull())
-        .groupBy("pillar", "hundredths")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    long = df.select(*columns).unpivot([], list(columns), "pillar", "value")
+    return long.where(F.col("value").isNotNull()).groupBy("pillar", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
     """Equal-width histogram per column between its minimum and maximum, empty bins included.
 
     The last bin includes the maximum. A column with a single value gets a range one unit wide around it.
+    Decimals are placed exactly, up to 38 digits of the value times ``bins``.
     """
     counts = value_counts(df, columns)
     per_pillar = Window.partitionBy("pillar")
-    low, high = F.min("hundredths").over(per_pillar), F.max("hundredths").over(per_pillar)
+    low, high = F.min("value").over(per_pillar), F.max("value").over(per_pillar)
     ranged = counts.withColumn("low", low).withColumn("high", high)
     flat = F.col("low") == F.col("high")
+    half = F.lit(Decimal("0.5"))
     ranged = ranged.select(
-        "pillar", "hundredths", "n",
-        F.when(flat, F.col("low") - 50).otherwise(F.col("low")).alias("low"),
-        F.when(flat, F.col("high") + 50).otherwise(F.col("high")).alias("high"),
+        "pillar", "value", "n",
+        F.when(flat, F.col("low") - half).otherwise(F.col("low")).alias("low"),
+        F.when(flat, F.col("high") + half).otherwise(F.col("high")).alias("high"),
     )
-    position = F.expr(f"((hundredths - low) * {bins}) div (high - low)")
+    exact = not isinstance(counts.schema["value"].dataType, (T.FloatType, T.DoubleType))
+    position = F.expr(f"((value - low) * {bins}) div (high - low)" if exact else f"floor((value - low) * {bins} / (high - low))")
     filled = ranged.withColumn("bin", F.least(position, F.lit(bins - 1)).cast("int"))
     per_bin = filled.groupBy("pillar", "bin").agg(
-        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")
+        F.sum("n").alias("n"), F.min("low").cast("double").alias("low"), F.max("high").cast("double").alias("high")
     )
     # At most ``bins`` entries per column; bins without values are added from the sequence.
     per_column = per_bin.groupBy("pillar").agg(
@@ -77,7 +77,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
         F.max("high").alias("high"),
     )
     every_bin = per_column.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    edge = (F.col("low") + (F.col("high") - F.col("low")) * F.col("bin") / bins) / 100
+    edge = F.col("low") + (F.col("high") - F.col("low")) * F.col("bin") / bins
     return every_bin.select(
         "pillar",
         "bin",
