@@ -17,6 +17,8 @@ from areascore.sources.storage import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 TOKENIZER = "word_bpe_49k.json"
+#: Near copies of this stage; the query op4 has a contract of its own.
+SHINGLE, PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,8 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of linked documents; documents without id stay."""
-    first = set_join.join(docs).where("doc_id = component_id").select("doc_id").distinct()
+    """The document of the smallest id of each group of linked documents; documents without id stay.
+
+    Documents are linked if their sets of SHINGLE words in a row have a similarity of PERCENT or more.
+    """
+    first = set_join.join(docs, shingle=SHINGLE, percent=PERCENT).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
