@@ -94,7 +94,8 @@ def test_repeated_rows_outside_the_referential_repeat_the_area(spark):
     energy = silver.clean_energy(raw_table(spark, SMALL, "raw_passoires_energetiques_iris"))
     twice = gold.environment(areas, housing.union(housing), energy)
     result = rules.evaluate(twice, [rules.Rule("unique", "iris_code")]).first()
-    assert result["violations"] == 2 * housing.count() and not result["success"]
+    inside = housing.join(areas.select("iris_code"), "iris_code", "left_semi").count()
+    assert result["violations"] == 2 * inside > 0 and not result["success"]
 
 
 def test_chain_writes_tests_and_registers(spark, tmp_path):
