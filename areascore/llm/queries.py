@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, decontaminate, hidden_markov, language_id, passage_chain, quality_rules, secret_scan, set_join, suffix_dedup, url_rules
+from areascore.llm import (
+    bpe,
+    decontaminate,
+    hidden_markov,
+    language_id,
+    line_dedup,
+    passage_chain,
+    quality_rules,
+    secret_scan,
+    set_join,
+    suffix_dedup,
+    url_rules,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,3 +179,27 @@ best AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN best USING (n)
 """
+
+
+@query
+def op13_line_dedup(spark, sf_dir):
+    cut = line_dedup.drop_shared_lines(given(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op13_line_dedup"] = r"""
+WITH l AS (
+  SELECT r, doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line
+  FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)
+), k AS (
+  SELECT r, doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), shared AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT r) >= 10
+), m AS (
+  SELECT k.*, shared.key IS NOT NULL AS gone FROM k LEFT JOIN shared ON k.key = shared.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
