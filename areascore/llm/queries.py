@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areascore.llm import (
     bpe,
+    conversation_repair,
     decontaminate,
     hidden_markov,
     language_id,
@@ -203,3 +204,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM m GROUP BY r, doc_id
 """
+
+
+def _damaged(conversations: DataFrame) -> tuple[DataFrame, Column]:
+    """The rows as the query has them damaged, and how often each stands there."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", known("conv_id"), known("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(known("text"), "[.!?]", "")).otherwise(known("text"))
+    rows = conversations.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(known("role")).alias("role"), text.alias("text"), kind.alias("kind")
+    )
+    return rows, F.when(F.col("kind") == 0, 0).when(F.col("kind") == 3, 2).otherwise(1)
+
+
+@query
+def op12_conversation_repair(spark, sf_dir):
+    rows, times = _damaged(given(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(rows, times=times)
