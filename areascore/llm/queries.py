@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from areascore.llm import (
     bpe,
+    collocations,
     conversation_repair,
     decontaminate,
     hidden_markov,
@@ -221,3 +222,42 @@ def _damaged(conversations: DataFrame) -> tuple[DataFrame, Column]:
 def op12_conversation_repair(spark, sf_dir):
     rows, times = _damaged(given(spark, sf_dir, "conversations"))
     return conversation_repair.repair(rows, times=times)
+
+
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.mine(given(spark, sf_dir, "documents").select("text", "lang"))
+
+
+SQL["op11_collocations"] = r"""
+WITH p AS (
+  SELECT lang, row_number() OVER () AS p, words FROM (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')), '[^ \t]+') AS words
+    FROM documents)
+), g AS (
+  SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i
+        FROM (SELECT *, unnest([1, 2, 3, 4]) AS k FROM p))
+), total AS (SELECT lang, count(*) AS n FROM g WHERE k = 1 GROUP BY lang),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 30),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, i, x.f AS l, y.f AS r, (2000000::HUGEINT * c.a) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:i], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[i + 1:], ' ')
+), weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), part AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2))
+  GROUP BY 1, 2
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, encode(w.phrase)) AS rank,
+         w.phrase, a, l, r, n, score::BIGINT AS score
+  FROM weakest w JOIN total ON total.lang = w.lang
+  LEFT JOIN part ON part.lang = w.lang AND part.phrase = w.phrase WHERE NOT coalesce(100 * most >= 80 * a, false))
+WHERE rank <= 2000
+"""
