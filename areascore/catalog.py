@@ -605,15 +605,53 @@ def unbounded(rule: rules.Rule) -> rules.Rule:
     return rule
 
 
-def _run_chain(spark, d, run_log: str | None = None):
+def _run_chain(spark, d, run_log: str | None = None, raw=raw_table, **options):
     return run_whole_chain(
         spark,
-        lambda name: raw_table(spark, d, name),
+        lambda name: raw(spark, d, name),
         fresh_path(spark, "warehouse"),
         run_log=run_log,
         as_of=datetime(2024, 1, 1),
         suite=tuple(map(unbounded, rules.MASTER_SUITE)),
         table_rules={t: tuple(map(unbounded, rs)) for t, rs in rules.TABLE_RULES.items()},
+        **options,
+    )
+
+
+def faulty_raw(spark, d, name: str) -> DataFrame:
+    """Raw tables in which every tenth commune breaks a rule: no catchment, a poverty rate of 140, rows twice."""
+    raw = raw_table(spark, d, name)
+    commune = lambda code: F.left(F.right(F.trim(code), F.lit(5)), F.lit(1))
+    if name == "raw_internal_bv_iris":
+        return raw.withColumn("code_bv", F.when(commune("code_iris") != "7", F.col("code_bv")))
+    if name == "raw_filosofi_iris":
+        return raw.withColumn("disp_tp6021", F.when(commune("iris") == "3", "140").otherwise(F.col("disp_tp6021")))
+    if name == "raw_rp_logement_iris":
+        return raw.unionAll(raw.where(commune("iris") == "5"))
+    return raw
+
+
+@query
+def gate_trips(spark, d):
+    """Faulty tables: what the gate says and leaves unbuilt, and what quarantine splits off and keeps."""
+    try:
+        _run_chain(spark, d, raw=faulty_raw)
+        told = []
+    except rules.QualityError as error:
+        told = [("failed", t, f"{kind}:{column}", n) for t, kind, column, n in error.failed]
+        told += [("not built", t, "", 0) for t in error.not_built]
+    done = _run_chain(spark, d, raw=faulty_raw, quarantine=True)
+    found = [
+        rows.select(F.lit(t).alias("table_name"), F.explode("_broken").alias("rule"))
+        for t, rows in done.quarantined.items()
+    ]
+    split = reduce(DataFrame.unionAll, found).groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("n"))
+    kept = done.tables[MASTER].select(F.lit(MASTER).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    schema = "what string, table_name string, rule string, n long"
+    return (
+        spark.createDataFrame(told, schema)
+        .unionByName(split.withColumn("what", F.lit("quarantined")))
+        .unionByName(kept.withColumns({"what": F.lit("kept"), "rule": F.lit("")}))
     )
 
 
@@ -681,7 +719,8 @@ def _stored_tables(spark, d, *names: str) -> dict[str, DataFrame]:
 
 
 def _rule_results(spark, d, kind: str) -> DataFrame:
-    return rules.evaluate_tables(_stored_tables(spark, d), kinds=(kind,)).select(*QUALITY_COLUMNS)
+    tables = layers(spark, d)
+    return rules.evaluate_tables({n: tables.table(n) for n in rules.TABLE_RULES}, kinds=(kind,)).select(*QUALITY_COLUMNS)
 
 
 @query
@@ -699,6 +738,28 @@ def q_range(spark, d):
     return _rule_results(spark, d, "between")
 
 
+# Every kind of rule once kept and once broken by the faulty tables.
+FAULT_RULES = {
+    AREAS: (
+        rules.Rule("unique", "iris_code"), rules.Rule("unique", "bv_code"), rules.Rule("not_null", "iris_code"),
+        rules.Rule("not_null", "bv_code"), rules.Rule("regex", "iris_code", pattern=r"^\d{9}$"),
+        rules.Rule("regex", "com_code", pattern=r"[0-6]$"), rules.Rule("row_count", low=1, high=NO_BOUND),
+        rules.Rule("row_count", low=0, high=0),
+    ),
+    "silver_filosofi": (
+        rules.Rule("between", "revenu_median_uc", 0, 1_000_000), rules.Rule("between", "taux_pauvrete_60", 0, 100),
+        rules.Rule("mean", "taux_pauvrete_60", 0, 1000), rules.Rule("mean", "taux_pauvrete_60", 0, 1),
+    ),
+}
+
+
+@query
+def q_broken_rules(spark, d):
+    tables = Layers(lambda name: faulty_raw(spark, d, name))
+    found = rules.evaluate_tables({n: tables.table(n) for n in FAULT_RULES}, FAULT_RULES)
+    return found.select("table_name", "rule_no", "kind", "column_name", "evaluated", "violations", "success")
+
+
 @query
 def q_duplicates(spark, d):
     return rules.duplicates(silver.located_areas(raw_table(spark, d, "raw_internal_bv_iris")), "iris_code")
@@ -706,8 +767,8 @@ def q_duplicates(spark, d):
 
 @query
 def q_relationships(spark, d):
-    tables = _stored_tables(spark, d, AREAS, "silver_filosofi", MASTER)
-    return rules.evaluate_references(tables)
+    tables = layers(spark, d)
+    return rules.evaluate_references({n: tables.table(n) for n in (AREAS, "silver_filosofi", MASTER)})
 
 
 @query
@@ -764,11 +825,7 @@ def q_score_not_null(spark, d):
 def q_referential_complete(spark, d):
     tables = _stored_tables(spark, d, *SILVER_TABLES, MASTER)
     areas = tables.pop(AREAS)
-    missing = (
-        keys.outside_of(areas, t).select(F.lit(n).alias("table_name"), "iris_code")
-        for n, t in tables.items()
-    )
-    return reduce(DataFrame.unionByName, missing)
+    return keys.absent_from(areas, tables)
 
 
 @query

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +37,25 @@ def outside_of(df: DataFrame, other: DataFrame, key: str = AREA) -> DataFrame:
     return df.join(other.select(key), key, "left_anti")
 
 
+def key_counts(sides: Mapping[object, DataFrame]) -> DataFrame:
+    """Every known ``key`` of several one-column frames, with its rows in each as ``n0``, ``n1``, ...
+
+    One exchange by key for all of them; rows are counted before it.
+    """
+    marked = (df.toDF("key").select("key", F.lit(k).alias("_side")) for k, df in enumerate(sides.values()))
+    rows = reduce(DataFrame.unionAll, marked).where(F.col("key").isNotNull())
+    return rows.groupBy("key").agg(*(F.count_if(F.col("_side") == k).alias(f"n{k}") for k in range(len(sides))))
+
+
+def absent_from(parent: DataFrame, tables: Mapping[str, DataFrame], key: str = AREA) -> DataFrame:
+    """``table_name`` and key for every key of ``parent`` that a table lacks, in one aggregation over all."""
+    counts = key_counts({"": parent.select(key), **{n: t.select(key) for n, t in tables.items()}})
+    lacking = F.filter(
+        F.array(*(F.when(F.col(f"n{k}") == 0, F.lit(n)) for k, n in enumerate(tables, 1))), lambda n: n.isNotNull()
+    )
+    return counts.where("n0 > 0").select(F.explode(lacking).alias("table_name"), F.col("key").alias(key))
+
+
 def star(spine: DataFrame, *dimensions: DataFrame, key: str = AREA) -> DataFrame:
     """Left-join every dimension on one key.
 

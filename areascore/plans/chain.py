@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from decimal import Decimal
@@ -16,6 +16,10 @@ from areascore.plans.layers import Layers
 from areascore.quality import audit, rules
 from areascore.settings import GOLD_TABLES, SILVER_TABLES
 
+#: Key that a stored table is laid out by: areas, or catchments where it has no areas.
+LAYOUT_KEYS = ("iris_code", "bv_code")
+BROKEN, QUARANTINED = "_broken", "_quarantined"
+
 
 @dataclass
 class ChainResult:
@@ -23,6 +27,7 @@ class ChainResult:
     rows: dict[str, int]
     test_results: dict[str, DataFrame] = field(default_factory=dict)
     success_pct: float | None = None
+    quarantined: dict[str, DataFrame] = field(default_factory=dict)
 
 
 def stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
@@ -43,27 +48,42 @@ def run_chain(
     run_log: str | None = None,
     as_of: datetime | None = None,
     suite: tuple[rules.Rule, ...] = rules.MASTER_SUITE,
-    table_rules: dict[str, tuple[rules.Rule, ...]] = rules.TABLE_RULES,
+    table_rules: Mapping[str, tuple[rules.Rule, ...]] = rules.TABLE_RULES,
     as_tables: bool = False,
+    buckets: int | None = None,
+    quarantine: bool = False,
 ) -> ChainResult:
     """Build and write every table under ``root``; stop at the first layer whose tests fail.
 
-    Each table is written once, its rows counted on the way, and read back by what depends on it.
-    ``as_tables`` also registers the tables as ``silver.<name>`` and ``gold.<name>``.
+    Each table is written once, its rows counted on the way, and read back by what depends on it. Tables are laid
+    out in ``buckets`` by their key (by default as many as the cluster has cores), so that the stars of the gold
+    layer join stored tables where they lie.
+    ``as_tables`` also registers the tables as ``silver.<name>`` and ``gold.<name>``, else they are known to the
+    catalog under names of this run only.
+    With ``quarantine``, rows that break a rule on rows are split off by the write itself, into a partition of their own
+    with the rules they break; the chain goes on with the others, and gates judge those. Else a gate that
+    finds a broken rule raises ``QualityError``, which names the failed rules and the tables not built.
     """
     run_id = uuid.uuid4().hex
     counts: dict[str, int] = {}
+    n_buckets = buckets or spark.sparkContext.defaultParallelism
+    result = ChainResult(tables={}, rows=counts)
 
     def write(df: DataFrame, name: str) -> DataFrame:
         started, clock = datetime.now(), time.monotonic()
         layer = name.split("_", 1)[0]
         record = {"run_id": run_id, "model_name": name, "layer": layer, "started_at": started}
         watched = Observation(f"{name}_{run_id}")
-        path = f"{root}/{layer}/{name}"
         complete = stamped(df, as_of)
+        table = f"chain_{run_id}_{name}"
+        if as_tables:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            table = f"{layer}.{name}"
         try:
-            counted = complete.observe(watched, F.count(F.lit(1)).alias("rows"))
-            counted.write.mode("overwrite").parquet(path)
+            _write_bucketed(
+                complete, table, f"{root}/{layer}/{name}", n_buckets, watched,
+                table_rules.get(name, ()) if quarantine else None,
+            )
         except Exception as error:
             if run_log:
                 audit.append_model_run(
@@ -77,10 +97,11 @@ def run_chain(
                 spark, run_log, **record, status="SUCCESS", rows_affected=counts[name],
                 execution_time_s=seconds, finished_at=datetime.now(),
             )
-        if as_tables:
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            spark.catalog.createTable(f"{layer}.{name}", path=path, source="parquet")
-        return spark.read.schema(complete.schema).parquet(path)
+        stored = spark.table(table)
+        if quarantine:
+            result.quarantined[name] = stored.where(QUARANTINED).select(*complete.columns, BROKEN)
+            stored = stored.where(f"NOT {QUARANTINED}")
+        return stored.select(*complete.columns)
 
     published = set(SILVER_TABLES) | set(GOLD_TABLES)
 
@@ -92,7 +113,6 @@ def run_chain(
         return spark.read.schema(df.schema).parquet(path)
 
     layers = Layers(raw, stored=True, store=store)
-    result = ChainResult(tables={}, rows=counts)
     for stage_name, names in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
         for name in names:
             result.tables[name] = layers.table(name)
@@ -103,24 +123,41 @@ def run_chain(
     return result
 
 
+def _write_bucketed(
+    df: DataFrame, table: str, path: str, buckets: int, watched: Observation, row_rules: tuple[rules.Rule, ...] | None
+) -> None:
+    """One file per bucket, in key order; the rows that break ``row_rules`` in files of their own."""
+    key = next(k for k in LAYOUT_KEYS if k in df.columns)
+    dealt = df.repartition(buckets, key)
+    kept = F.count(F.lit(1))
+    if row_rules is not None:
+        dealt = dealt.withColumn(BROKEN, rules.broken_rules(dealt, row_rules))
+        dealt = dealt.withColumn(QUARANTINED, F.size(BROKEN) > 0)
+        kept = F.count_if(~F.col(QUARANTINED))
+    writer = dealt.observe(watched, kept.alias("rows")).write.mode("overwrite").format("parquet").option("path", path)
+    if row_rules is not None:
+        writer = writer.partitionBy(QUARANTINED)
+    writer.bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
 def gate(
     tables: dict[str, DataFrame],
     stage_name: str,
-    table_rules: dict[str, tuple[rules.Rule, ...]] = rules.TABLE_RULES,
+    table_rules: Mapping[str, tuple[rules.Rule, ...]] = rules.TABLE_RULES,
 ) -> DataFrame:
     """Test the tables of one layer; raise if any rule or reference is broken."""
     own = {n: t for n, t in tables.items() if n.startswith(stage_name)}
     results = rules.evaluate_tables(own, table_rules)
-    failed = results.where("NOT success").select("table_name", "kind", "column_name").collect()
-    broken = [
-        r["table_name"]
+    failed = [tuple(r) for r in results.where("NOT success").select("table_name", "kind", "column_name", "violations").collect()]
+    failed += [
+        (r["table_name"], "reference", r["column_name"], r["violations"])
         for r in rules.evaluate_references(
             tables, [ref for ref in rules.REFERENCES if ref.child.startswith(stage_name)]
-        ).collect()
-        if r["violations"]
+        ).where("violations > 0").collect()
     ]
-    if failed or broken:
-        raise rules.QualityError(f"{stage_name} tests failed: {[tuple(f) for f in failed]} {broken}")
+    if failed:
+        not_built = [n for n in (*SILVER_TABLES, *GOLD_TABLES) if n not in tables]
+        raise rules.QualityError(f"{stage_name} tests failed: {failed}", failed, not_built)
     return results
 
 

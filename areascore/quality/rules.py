@@ -6,17 +6,21 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areascore.functions.numbers import quotient_of_sums
-from areascore.operators.keys import outside_of
+from areascore.operators.keys import key_counts, outside_of
 
 PASS_MARK = 90
 
 
 class QualityError(RuntimeError):
-    """A gate stopped the run."""
+    """A gate stopped the run: the rules that failed, and the tables that were not built for it."""
+
+    def __init__(self, message: str, failed: Iterable[tuple] = (), not_built: Iterable[str] = ()):
+        super().__init__(message)
+        self.failed, self.not_built = tuple(failed), tuple(not_built)
 
 
 @dataclass(frozen=True)
@@ -127,37 +131,48 @@ def evaluate(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One result row per rule: rows evaluated, rows against it, observed value, verdict.
 
     All rules share one scan. A unique rule turns the aggregation into two steps, first by its key and
-    then overall; counters add up through both, so the table is still read once.
+    then overall; counters add up through both, so the table is still read once. Several keys are grouping
+    sets of that one scan, and the counters are taken from the first of them.
     """
     rules = tuple(rules)
-    unique_keys = {r.column for r in rules if r.kind == "unique"}
-    if len(unique_keys) > 1:
-        raise ValueError("at most one key per table can be tested for uniqueness in one pass")
+    keys = list(dict.fromkeys(r.column for r in rules if r.kind == "unique"))
     plain = [i for i, r in enumerate(rules) if r.kind != "unique"]
     counters = {}
     for i in plain:
         counters[f"_e{i}"], counters[f"_v{i}"] = _row_counters(rules[i])
-    row_level = df.withColumns(counters) if counters else df
     names = [f"{prefix}{i}" for i in plain for prefix in ("_e", "_v")]
+    row_level = df.withColumns(counters | {f"_key{k}": F.col(c) for k, c in enumerate(keys)})
     sums = [F.sum(n).alias(n) for n in names]
-    if unique_keys:
-        (key,) = unique_keys
-        grouped = row_level.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *sums)
-        keyed = F.col("_key").isNotNull()
-        sums += [
-            F.sum(F.when(keyed, F.col("_n"))).alias("_keyed"),
-            F.sum(F.when(keyed & (F.col("_n") > 1), F.col("_n"))).alias("_repeated"),
-        ]
+    if keys:
+        columns = [f"_key{k}" for k in range(len(keys))]
+        if len(keys) == 1:
+            groups, own = row_level.groupBy(*columns), [F.lit(True)]
+        else:
+            groups = row_level.groupingSets([[F.col(c)] for c in columns], *(F.col(c) for c in columns))
+            sums.append(F.grouping_id().alias("_set"))
+            # A set's number has a bit for every key that is not in it, the first key's the highest.
+            own = [F.col("_set") == 2 ** len(keys) - 1 - 2 ** (len(keys) - 1 - k) for k in range(len(keys))]
+        grouped = groups.agg(F.count(F.lit(1)).alias("_n"), *sums)
+        sums = [F.sum(F.when(own[0], F.col(n))).alias(n) for n in names]
+        for k, key in enumerate(columns):
+            keyed = own[k] & F.col(key).isNotNull()
+            sums += [
+                F.sum(F.when(keyed, F.col("_n"))).alias(f"_keyed{k}"),
+                F.sum(F.when(keyed & (F.col("_n") > 1), F.col("_n"))).alias(f"_repeated{k}"),
+            ]
         totals = grouped.agg(*sums)
     else:
         totals = row_level.agg(*sums)
-    return totals.select(F.inline(F.array(*(_result(i, r) for i, r in enumerate(rules)))))
+    return totals.select(F.inline(F.array(*(_result(i, r, keys) for i, r in enumerate(rules)))))
 
 
-def _result(i: int, rule: Rule) -> Column:
-    repeated = rule.kind == "unique"
-    evaluated = F.coalesce(F.col("_keyed" if repeated else f"_e{i}"), F.lit(0)).cast("bigint")
-    against = F.coalesce(F.col("_repeated" if repeated else f"_v{i}"), F.lit(0))
+def _result(i: int, rule: Rule, keys: list[str]) -> Column:
+    names = f"_e{i}", f"_v{i}"
+    if rule.kind == "unique":
+        k = keys.index(rule.column)
+        names = f"_keyed{k}", f"_repeated{k}"
+    evaluated = F.coalesce(F.col(names[0]), F.lit(0)).cast("bigint")
+    against = F.coalesce(F.col(names[1]), F.lit(0))
     violations = against.cast("bigint")
     if rule.kind == "row_count":
         observed = evaluated.cast("double")
@@ -223,20 +238,51 @@ def evaluate_tables(
 def evaluate_references(
     tables: Mapping[str, DataFrame], references: Iterable[Reference] = REFERENCES
 ) -> DataFrame:
-    """Number of child rows without a parent, per declared reference."""
-    results = []
-    for ref in references:
-        if ref.child in tables and ref.parent in tables:
-            missing = orphans(tables[ref.child], tables[ref.parent], ref.key)
-            results.append(
-                missing.agg(F.count(F.lit(1)).alias("violations")).select(
-                    F.lit(ref.child).alias("table_name"),
-                    F.lit(ref.parent).alias("parent_name"),
-                    F.lit(ref.key).alias("column_name"),
-                    "violations",
-                )
-            )
-    return reduce(DataFrame.unionByName, results)
+    """Number of child rows without a parent, per declared reference.
+
+    All references are tested by one aggregation over the keys of all tables, whatever their number; keys are counted per
+    table before the shuffle, so a key that fills a table is no hot spot. Null keys refer to nothing and are
+    left out. The keys of a reference have one type.
+    """
+    chosen = [r for r in references if r.child in tables and r.parent in tables]
+    if not chosen:
+        raise ValueError("no reference between the given tables")
+    sides = list(dict.fromkeys((name, r.key) for r in chosen for name in (r.child, r.parent)))
+    counts = key_counts({side: tables[side[0]].select(F.col(side[1]).alias("key")) for side in sides})
+    number = {side: f"n{k}" for k, side in enumerate(sides)}
+    lost = [
+        F.sum(F.when(F.col(number[r.parent, r.key]) == 0, F.col(number[r.child, r.key]))) for r in chosen
+    ]
+    rows = [
+        F.struct(
+            F.lit(r.child).alias("table_name"), F.lit(r.parent).alias("parent_name"), F.lit(r.key).alias("column_name"),
+            F.coalesce(F.col(f"_lost{k}"), F.lit(0)).cast("bigint").alias("violations"),
+        )
+        for k, r in enumerate(chosen)
+    ]
+    totals = counts.agg(*(c.alias(f"_lost{k}") for k, c in enumerate(lost)))
+    return totals.select(F.inline(F.array(*rows)))
+
+
+def broken_rules(df: DataFrame, rules: Iterable[Rule]) -> Column:
+    """The rules that a row breaks, as an array of ``kind:column``.
+
+    Rules on whole tables break no row. Every row of a repeated key breaks ``unique``; its key is counted over a window,
+    which needs no shuffle where the rows are already dealt by that key.
+    """
+    labels = []
+    for rule in rules:
+        if rule.kind in ("not_null", "between", "regex"):
+            breaks = _row_counters(rule)[1] == 1
+        elif rule.kind == "unique":
+            key = F.col(rule.column)
+            breaks = key.isNotNull() & (F.count(F.lit(1)).over(Window.partitionBy(rule.column)) > 1)
+        else:
+            continue
+        labels.append(F.when(breaks, F.lit(f"{rule.kind}:{rule.column}")))
+    if not labels:
+        return F.array().cast("array<string>")
+    return F.filter(F.array(*labels), lambda label: label.isNotNull())
 
 
 def violations_of(df: DataFrame, condition: Column, *columns: str) -> DataFrame:

@@ -516,6 +516,60 @@ add(
         for r in REFERENCES
     ),
 )
+_broken = "left(right({}, 5), 1) = '{}'".format
+_faults = {
+    ("silver_referentiel_iris", "not_null:bv_code"): f"count(*) AS n FROM areas WHERE {_broken('iris_code', 7)}",
+    ("silver_filosofi", "between:taux_pauvrete_60"): f"count(*) AS n FROM income WHERE {_broken('iris_code', 3)}",
+    ("silver_rp_logement", "unique:iris_code"): f"CAST(2 * count(*) AS BIGINT) AS n FROM housing WHERE {_broken('iris_code', 5)}",
+}
+add(
+    "gate_trips",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{what}' AS what, '{table}' AS table_name, '{rule}' AS rule, {n}"
+            for what in ("failed", "quarantined") for (table, rule), n in _faults.items()
+        ]
+        + [
+            f"SELECT 'not built', '{table}', '', CAST(0 AS BIGINT)"
+            for table in ("gold_indicateurs_e", "gold_indicateurs_s", "gold_indicateurs_g", "gold_esg_iris_final",
+                          "gold_esg_bassin_vie_final")
+        ]
+        + [f"SELECT 'kept', 'gold_esg_iris_final', '', count(*) FROM areas WHERE NOT {_broken('iris_code', 7)}"]
+    ),
+)
+# Rows of the faulty tables: the catchment is unknown in one commune of ten, the poverty rate 140 in another.
+_fault_areas = f"(SELECT iris_code, com_code, CASE WHEN NOT {_broken('iris_code', 7)} THEN bv_code END AS bv_code FROM areas)"
+_fault_income = (
+    "(SELECT revenu_median_uc, CAST(CASE WHEN " + _broken("iris_code", 3) + " THEN 140 ELSE taux_pauvrete_60 END "
+    "AS DECIMAL(10,2)) AS rate FROM income)"
+)
+_fault_rules = [
+    ("silver_referentiel_iris", 1, "unique", "iris_code", f"SELECT count(*), 0, true FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 2, "unique", "bv_code",
+     f"SELECT sum(n), coalesce(sum(n) FILTER (n > 1), 0), max(n) <= 1 FROM (SELECT count(*) AS n FROM {_fault_areas} "
+     "WHERE bv_code IS NOT NULL GROUP BY bv_code)"),
+    ("silver_referentiel_iris", 3, "not_null", "iris_code", f"SELECT count(*), 0, true FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 4, "not_null", "bv_code",
+     f"SELECT count(*), count(*) - count(bv_code), count(bv_code) = count(*) FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 5, "regex", "iris_code", f"SELECT count(*), 0, true FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 6, "regex", "com_code",
+     f"SELECT count(*), count(*) FILTER (right(com_code, 1) > '6'), count(*) FILTER (right(com_code, 1) > '6') = 0 FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 7, "row_count", "", f"SELECT count(*), 0, true FROM {_fault_areas}"),
+    ("silver_referentiel_iris", 8, "row_count", "", f"SELECT count(*), 0, false FROM {_fault_areas}"),
+    ("silver_filosofi", 1, "between", "revenu_median_uc", f"SELECT count(revenu_median_uc), 0, true FROM {_fault_income}"),
+    ("silver_filosofi", 2, "between", "taux_pauvrete_60",
+     f"SELECT count(rate), count(*) FILTER (rate > 100), count(*) FILTER (rate > 100) = 0 FROM {_fault_income}"),
+    ("silver_filosofi", 3, "mean", "taux_pauvrete_60", f"SELECT count(rate), 0, true FROM {_fault_income}"),
+    ("silver_filosofi", 4, "mean", "taux_pauvrete_60", f"SELECT count(rate), 0, false FROM {_fault_income}"),
+]
+add(
+    "q_broken_rules",
+    " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, CAST({no} AS BIGINT) AS rule_no, '{kind}' AS kind, '{column}' AS column_name, "
+        f"CAST(e AS BIGINT) AS evaluated, CAST(v AS BIGINT) AS violations, ok AS success FROM ({body}) AS x(e, v, ok)"
+        for table, no, kind, column, body in _fault_rules
+    ),
+)
 add(
     "q_source_contract",
     " UNION ALL ".join(
