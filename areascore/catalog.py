@@ -20,6 +20,7 @@ from areascore.operators import keys, profile
 from areascore.operators.ranking import with_percent_rank
 from areascore.plans import gold, reports, silver
 from areascore.plans.chain import run_chain as run_whole_chain
+from areascore.plans.delivery import Delivery, run_from_files
 from areascore.plans.ingest import ingest_catchment_map, ingest_source
 from areascore.plans.layers import Layers
 from areascore.quality import audit, contracts, rules
@@ -197,12 +198,14 @@ def audit_append(spark, d):
 
 @query
 def content_checksum(spark, d):
-    raw = raw_table(spark, d, "raw_filosofi_iris")
-    files = raw.select(
-        F.col("iris").alias("path"),
-        F.concat_ws(";", "iris", "disp_med21", "disp_tp6021", "disp_pimpot21").cast("binary").alias("content"),
+    """Digests of landed files, one per department, read back as bytes."""
+    raw = raw_table(spark, d, "raw_filosofi_iris").select(
+        F.left("iris", F.lit(1)).alias("part"), F.concat_ws(";", "iris", "disp_med21", "disp_tp6021", "disp_pimpot21").alias("line")
     )
-    return containers.content_checksum(files)
+    path = fresh_path(spark, "files")
+    raw.repartition("part").sortWithinPartitions("part", "line").write.partitionBy("part").text(path)
+    part = F.regexp_extract("path", "/part=([^/]*)/", 1)
+    return containers.file_digests(spark, path).select(part.alias("part"), "checksum_md5", "file_size_bytes")
 
 
 @query
@@ -605,15 +608,21 @@ def unbounded(rule: rules.Rule) -> rules.Rule:
     return rule
 
 
+def _chain_options() -> dict:
+    return {
+        "as_of": datetime(2024, 1, 1),
+        "suite": tuple(map(unbounded, rules.MASTER_SUITE)),
+        "table_rules": {t: tuple(map(unbounded, rs)) for t, rs in rules.TABLE_RULES.items()},
+    }
+
+
 def _run_chain(spark, d, run_log: str | None = None, raw=raw_table, **options):
     return run_whole_chain(
         spark,
         lambda name: raw(spark, d, name),
         fresh_path(spark, "warehouse"),
         run_log=run_log,
-        as_of=datetime(2024, 1, 1),
-        suite=tuple(map(unbounded, rules.MASTER_SUITE)),
-        table_rules={t: tuple(map(unbounded, rs)) for t, rs in rules.TABLE_RULES.items()},
+        **_chain_options(),
         **options,
     )
 
@@ -677,7 +686,7 @@ def _ingest_paths(spark) -> dict[str, str]:
 
 
 def _load_outcome(spark, log: str, table: str) -> DataFrame:
-    loaded = spark.read.parquet(table).agg(F.count(F.lit(1)).alias("bronze_rows"))
+    loaded = tabular.read_bronze(spark, table).agg(F.count(F.lit(1)).alias("bronze_rows"))
     logged = audit.read_loads(spark, log).select("source_id", "millesime", "status", "row_count")
     return logged.join(loaded, F.col("row_count") == F.col("bronze_rows"), "left")
 
@@ -705,7 +714,59 @@ def ingest_internal(spark, d):
     ingest_catchment_map(
         spark, path, **paths, run_id="run", run_ts="20240101_000000", spec=_landed_spec("S12")
     )
-    return spark.read.parquet(f"{paths['bronze']}/raw_internal_bv_iris")
+    return tabular.read_bronze(spark, f"{paths['bronze']}/raw_internal_bv_iris")
+
+
+def _delivered(spark, d, faulty: str | None = None) -> dict[str, Delivery]:
+    """Files of every source; those of ``faulty`` lack a key column."""
+    root, out = fresh_path(spark, "delivered"), {}
+    for source_id, spec in SOURCES.items():
+        raw = raw_table(spark, d, spec.table)
+        if source_id == faulty:
+            raw = raw.drop(spec.key_columns[-1].lower())
+        if spec.internal:
+            raw = raw.toDF("IRIS", "lib_iris", "Code Bassin de Vie", "Libelle Bassin de Vie")
+        tabular.write_delimited(raw, f"{root}/{source_id}", spec.separator)
+        out[source_id] = Delivery(f"{root}/{source_id}", raw.columns)
+    return out
+
+
+def _run_from_files(spark, d, faulty: str | None = None):
+    return run_from_files(
+        spark, _delivered(spark, d, faulty), fresh_path(spark, "from_files"), "run", "20240101_000000",
+        specs={s: _landed_spec(s) for s in SOURCES}, **_chain_options(),
+    )
+
+
+@query
+def chain_from_files(spark, d):
+    """Landed files of all sources to the catchment table, in one call."""
+    return _run_from_files(spark, d)[1].tables[BASINS].drop("dbt_updated_at")
+
+
+@query
+def chain_without_a_source(spark, d):
+    """One source fails: its loads and tables, and what is still built."""
+    loads, done = _run_from_files(spark, d, faulty="S09")
+    rows = [("source", s, r["status"], r.get("row_count")) for s, r in loads.items()]
+    rows += [("table", t, "BUILT", n) for t, n in done.rows.items()] + [("table", t, "SKIPPED", None) for t in done.skipped]
+    return spark.createDataFrame(rows, "what string, name string, status string, n long")
+
+
+@query
+def ingest_drift(spark, d):
+    """Three loads of a source that shrinks by half: versions, drift notes and digests in the records."""
+    raw = raw_table(spark, d, "raw_filosofi_iris")
+    paths, spec = _ingest_paths(spark), _landed_spec("S01")
+    for run, part in enumerate((raw, raw.withColumn("disp_d121", F.lit("1")), raw.where(F.col("iris").endswith("0000")))):
+        path = fresh_path(spark, "S01")
+        tabular.write_delimited(part, path)
+        ingest_source(spark, spec, path, raw.columns, **paths, run_id="run", run_ts=f"2024010{run + 1}_000000")
+    log = audit.read_loads(spark, paths["log"])
+    return log.select(
+        F.right("minio_path", F.lit(15)).alias("run_ts"), "row_count", "status", (F.length("checksum_md5") == 32).alias("digest"),
+        (F.col("file_size_bytes") > 0).alias("sized"), "notes",
+    )
 
 
 # --- data quality --------------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime
 from decimal import Decimal
@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.plans.layers import Layers
+from areascore.plans.layers import Layers, raw_inputs
 from areascore.quality import audit, rules
 from areascore.settings import GOLD_TABLES, SILVER_TABLES
 
@@ -28,6 +28,7 @@ class ChainResult:
     test_results: dict[str, DataFrame] = field(default_factory=dict)
     success_pct: float | None = None
     quarantined: dict[str, DataFrame] = field(default_factory=dict)
+    skipped: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
 
 def stamped(df: DataFrame, as_of: datetime | None) -> DataFrame:
@@ -52,6 +53,7 @@ def run_chain(
     as_tables: bool = False,
     buckets: int | None = None,
     quarantine: bool = False,
+    absent: Collection[str] = (),
 ) -> ChainResult:
     """Build and write every table under ``root``; stop at the first layer whose tests fail.
 
@@ -63,6 +65,7 @@ def run_chain(
     With ``quarantine``, rows that break a rule on rows are split off by the write itself, into a partition of their own
     with the rules they break; the chain goes on with the others, and gates judge those. Else a gate that
     finds a broken rule raises ``QualityError``, which names the failed rules and the tables not built.
+    Tables that depend on a raw table in ``absent`` are skipped, all others are built and tested.
     """
     run_id = uuid.uuid4().hex
     counts: dict[str, int] = {}
@@ -115,8 +118,19 @@ def run_chain(
     layers = Layers(raw, stored=True, store=store)
     for stage_name, names in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
         for name in names:
-            result.tables[name] = layers.table(name)
-        result.test_results[stage_name] = gate(result.tables, stage_name, table_rules)
+            missing = sorted(raw_inputs(name) & set(absent))
+            if not missing:
+                result.tables[name] = layers.table(name)
+                continue
+            result.skipped[name] = tuple(missing)
+            if run_log:
+                record = {"run_id": run_id, "model_name": name, "layer": stage_name}
+                audit.append_model_run(spark, run_log, **record, status="SKIPPED", error_message=f"without {missing}")
+        tested = gate(result.tables, stage_name, table_rules)
+        if tested is not None:
+            result.test_results[stage_name] = tested
+    if "gold_esg_iris_final" not in result.tables:
+        return result
     verdict = rules.evaluate(result.tables["gold_esg_iris_final"], suite)
     result.test_results["suite"] = verdict
     result.success_pct = rules.require_pass(verdict)
@@ -144,17 +158,19 @@ def gate(
     tables: dict[str, DataFrame],
     stage_name: str,
     table_rules: Mapping[str, tuple[rules.Rule, ...]] = rules.TABLE_RULES,
-) -> DataFrame:
-    """Test the tables of one layer; raise if any rule or reference is broken."""
+) -> DataFrame | None:
+    """Test the tables of one layer; raise if any rule or reference is broken. None if no table has a rule."""
     own = {n: t for n, t in tables.items() if n.startswith(stage_name)}
-    results = rules.evaluate_tables(own, table_rules)
-    failed = [tuple(r) for r in results.where("NOT success").select("table_name", "kind", "column_name", "violations").collect()]
-    failed += [
-        (r["table_name"], "reference", r["column_name"], r["violations"])
-        for r in rules.evaluate_references(
-            tables, [ref for ref in rules.REFERENCES if ref.child.startswith(stage_name)]
-        ).where("violations > 0").collect()
-    ]
+    ruled = {n: t for n, t in own.items() if table_rules.get(n)}
+    results = rules.evaluate_tables(ruled, table_rules) if ruled else None
+    failed = []
+    if results is not None:
+        broken = results.where("NOT success").select("table_name", "kind", "column_name", "violations")
+        failed = [tuple(r) for r in broken.collect()]
+    references = [r for r in rules.REFERENCES if r.child in own and r.parent in tables]
+    if references:
+        lost = rules.evaluate_references(tables, references).where("violations > 0").collect()
+        failed += [(r["table_name"], "reference", r["column_name"], r["violations"]) for r in lost]
     if failed:
         not_built = [n for n in (*SILVER_TABLES, *GOLD_TABLES) if n not in tables]
         raise rules.QualityError(f"{stage_name} tests failed: {failed}", failed, not_built)

@@ -3,11 +3,15 @@
 Jobs start at files that are already on a path Spark can read. A run is written once; its row count and
 fingerprint are observed during that write. A run that breaks its contract stays in the landing area for
 inspection but never reaches the bronze table.
+
+The bronze table remembers what its last load was: rows, digest of the files, run. A load of files with that digest can be
+left out as finished; else its row count is compared with the one before as part of the commit, so that of two
+loads that overlap the later one is compared with what the earlier one left.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -18,7 +22,9 @@ from areascore.quality import audit
 from areascore.quality.contracts import ContractError, missing_columns, require_contract
 from areascore.settings import SOURCES, SourceSpec
 from areascore.sources.containers import (
+    combined_digest,
     detect_format,
+    file_digests,
     is_container,
     read_containers,
     scan_below_header,
@@ -27,14 +33,16 @@ from areascore.sources.containers import (
     table_fingerprint,
 )
 from areascore.sources.tabular import (
+    as_text,
     land,
     landed,
-    load_bronze,
     map_columns,
     normalize_headers,
     scan_delimited,
     scan_encoding_fallback,
 )
+from areascore.sources.storage import path_exists
+from areascore.sources.versions import Version, VersionedTable
 
 MAX_CONTAINER = 2**31 - 1
 
@@ -86,20 +94,46 @@ def read_source(
 
 
 def _land_and_load(
-    df: DataFrame, spec: SourceSpec, landing: str, bronze: str, run_ts: str
-) -> tuple[int, str]:
+    df: DataFrame, spec: SourceSpec, landing: str, bronze: str, log: str, run_ts: str, delivery: dict
+) -> dict:
+    """Land a run, hold it to its contract and make it the bronze table; returns what the record says of it."""
+    spark = df.sparkSession
     seen = Observation("landed")
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), table_fingerprint(df).alias("md5"))
     land(watched, landing, spec.source_id, spec.vintage, run_ts)
-    rows, checksum = seen.get["rows"], seen.get["md5"]
+    rows, fingerprint = seen.get["rows"], seen.get["md5"]
     require_contract(df.columns, rows, spec)
-    run = landed(df.sparkSession, landing, df.columns, spec.source_id, run_ts)
-    load_bronze(run.select(*df.columns), f"{bronze}/{spec.table}")
-    return rows, checksum
+    run = landed(spark, landing, df.columns, spec.source_id, run_ts)
+    table = VersionedTable(spark, f"{bronze}/{spec.table}")
+    folder = table.stage(as_text(run.select(*df.columns)))
+    outcome: dict = {}
+
+    def decide(before: Version) -> dict:
+        previous = before.facts.get("rows") if before.number else logged_rows(spark, log, spec.source_id)
+        outcome.update(notes=audit.drift_note(spec.source_id, rows, previous), previous_rows=previous)
+        return {"rows": rows, "fingerprint": fingerprint, "run_ts": run_ts, **delivery}
+
+    version = table.publish(folder, decide)
+    return {"row_count": rows, "version": version.number, **outcome}
+
+
+def logged_rows(spark: SparkSession, log: str, source_id: str) -> int | None:
+    """Rows of the last successful load of a source whose bronze table has no version yet, by the audit log."""
+    if not path_exists(spark, log):
+        return None
+    found = audit.last_row_count(audit.read_loads(spark, log), source_id).first()
+    return found["row_count"] if found else None
 
 
-def _logged(spark: SparkSession, spec: SourceSpec, path: str, log: str, run_id: str, run_ts: str, job) -> dict:
-    """Run a load and write its audit record, good or bad, after the table is complete."""
+def _logged(
+    spark: SparkSession, spec: SourceSpec, path: str, bronze: str, log: str, run_id: str, run_ts: str, reuse: bool,
+    job: Callable[[dict], dict],
+) -> dict:
+    """Run a load and write its audit record, good or bad, after the table is complete.
+
+    The files are hashed first. With ``reuse``, a bronze table that was loaded from the same files stays as it is, and
+    nothing is logged.
+    """
     record = {
         "source_id": spec.source_id,
         "source_name": fold_to_ascii(spec.label),
@@ -111,19 +145,17 @@ def _logged(spark: SparkSession, spec: SourceSpec, path: str, log: str, run_id:
         "ingested_at": datetime.now(),
     }
     try:
-        rows, checksum, size, detected = job()
+        delivery = combined_digest(file_digests(spark, path)).first().asDict()
+        before = VersionedTable(spark, f"{bronze}/{spec.table}").current()
+        if reuse and delivery["checksum_md5"] == before.facts.get("checksum_md5"):
+            return record | delivery | {"row_count": before.facts["rows"], "version": before.number, "status": "UNCHANGED"}
+        loaded = job(delivery)
     except Exception as error:
         audit.try_append_load(spark, log, **record, status="FAILED", error_message=str(error))
         raise
-    record |= {"row_count": rows, "checksum_md5": checksum, "file_size_bytes": size}
+    record |= delivery | {"row_count": loaded["row_count"], "notes": loaded["notes"]}
     audit.try_append_load(spark, log, **record, status="SUCCESS")
-    return record | {"status": "SUCCESS", "detected_format": detected}
-
-
-def _total_size(spark: SparkSession, path: str) -> int:
-    """Bytes of all files, from their listing."""
-    listing = spark.read.format("binaryFile").load(path).agg(F.sum("length"))
-    return listing.first()[0]
+    return record | loaded | {"status": "SUCCESS"}
 
 
 def ingest_source(
@@ -136,19 +168,19 @@ def ingest_source(
     log: str,
     run_id: str,
     run_ts: str,
+    reuse: bool = False,
 ) -> dict:
-    """Ingest one open-data source; returns what was logged plus the detected format."""
+    """Ingest one open-data source; returns what was logged, the version of its table and the detected format."""
 
-    def job():
+    def job(delivery: dict) -> dict:
         detected = source_format(spark, spec, path)
         df = read_source(spark, spec, path, columns, detected)
         absent = missing_columns(df.columns, spec)
         if absent:
             raise ContractError(f"{spec.source_id}: missing columns {absent}")
-        rows, checksum = _land_and_load(df, spec, landing, bronze, run_ts)
-        return rows, checksum, _total_size(spark, path), detected
+        return _land_and_load(df, spec, landing, bronze, log, run_ts, delivery) | {"detected_format": detected}
 
-    return _logged(spark, spec, path, log, run_id, run_ts, job)
+    return _logged(spark, spec, path, bronze, log, run_id, run_ts, reuse, job)
 
 
 def ingest_catchment_map(
@@ -160,13 +192,13 @@ def ingest_catchment_map(
     run_id: str,
     run_ts: str,
     spec: SourceSpec = SOURCES["S12"],
+    reuse: bool = False,
 ) -> dict:
     """Ingest the internal catchment map: any of three encodings, delivered column names."""
 
-    def job():
+    def job(delivery: dict) -> dict:
         raw = scan_encoding_fallback(spark, path, spec.separator)
         df = normalize_headers(map_columns(raw))
-        rows, checksum = _land_and_load(df, spec, landing, bronze, run_ts)
-        return rows, checksum, _total_size(spark, path), "csv"
+        return _land_and_load(df, spec, landing, bronze, log, run_ts, delivery) | {"detected_format": "csv"}
 
-    return _logged(spark, spec, path, log, run_id, run_ts, job)
+    return _logged(spark, spec, path, bronze, log, run_id, run_ts, reuse, job)

@@ -12,6 +12,26 @@ from areascore.plans import gold, silver
 from areascore.sources.storage import stage
 
 
+_AREAS = "silver_referentiel_iris"
+#: What each table is built from: raw tables and other tables.
+INPUTS: dict[str, tuple[str, ...]] = {
+    _AREAS: ("raw_internal_bv_iris",),
+    **{name: (raw, _AREAS) for name, (raw, _) in silver.CLEANERS.items()},
+    "gold_indicateurs_e": (_AREAS, "silver_rp_logement", "silver_passoires_energetiques"),
+    "gold_indicateurs_s": (_AREAS, "silver_filosofi", "silver_rp_population", "silver_rp_activite"),
+    "gold_indicateurs_g": (_AREAS, "silver_bpe", "raw_zrr_communes"),
+    "gold_esg_iris_final": (_AREAS, "gold_indicateurs_e", "gold_indicateurs_s", "gold_indicateurs_g"),
+    "gold_esg_bassin_vie_final": ("gold_esg_iris_final",),
+}
+
+
+def raw_inputs(table: str) -> frozenset[str]:
+    """The raw tables a table depends on, directly or through others."""
+    if table not in INPUTS:
+        return frozenset([table])
+    return frozenset().union(*map(raw_inputs, INPUTS[table]))
+
+
 class Layers:
     """Silver and gold tables over a set of raw tables.
 

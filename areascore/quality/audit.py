@@ -179,6 +179,23 @@ def row_count_drift(log: DataFrame, limit_pct: int = 20) -> DataFrame:
     )
 
 
+def drift_percent(new: int, previous: int | None) -> Decimal | None:
+    """Change of a row count in percent of the one before; unknown without one, or after an empty load."""
+    if not previous:
+        return None
+    return (Decimal(abs(new - previous)) * 100 / Decimal(previous)).quantize(Decimal("0.0001"))
+
+
+def drift_note(source_id: str, new: int, previous: int | None, limit_pct: int = 20) -> str | None:
+    """What to say about a load whose row count left the band around the one before; also logged as a warning."""
+    drift = drift_percent(new, previous)
+    if drift is None or drift <= limit_pct:
+        return None
+    note = f"row count {previous} -> {new}: {drift} % of drift, limit {limit_pct} %"
+    logger.warning("%s: %s", source_id, note)
+    return note
+
+
 def freshness(log: DataFrame, as_of: str, warn_days: int = 14, error_days: int = 30) -> DataFrame:
     """Age in days of the newest load of each source, against two thresholds."""
     age = F.datediff(F.lit(as_of).cast("date"), F.max(F.to_date("ingested_at")))

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from areascore.functions.numbers import nullify_tokens
 from areascore.functions.text import header_name_column, header_names
+from areascore.sources.versions import VersionedTable
 
 HEADER_CANDIDATES = 10
 
@@ -184,12 +185,22 @@ def with_null_tokens(df: DataFrame) -> DataFrame:
     return df.select(*(nullify_tokens(F.col(f"`{c}`")).alias(c) for c in df.columns))
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
+
+
 def load_bronze(df: DataFrame, path: str, if_exists: str = "replace") -> DataFrame:
-    """Write a bronze table; ``replace`` is idempotent, ``append`` adds."""
-    modes = {"replace": "overwrite", "append": "append"}
-    text = df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
-    text.write.mode(modes[if_exists]).parquet(path)
-    return df.sparkSession.read.schema(text.schema).parquet(path)
+    """Write a bronze table; ``replace`` is idempotent, ``append`` adds.
+
+    The table changes when all rows are written: a load that fails leaves the old rows, see ``VersionedTable``.
+    """
+    append = {"replace": False, "append": True}[if_exists]
+    table = VersionedTable(df.sparkSession, path)
+    return table.read(table.publish(table.stage(as_text(df)), lambda before: before.facts, append))
+
+
+def read_bronze(spark: SparkSession, path: str) -> DataFrame:
+    return VersionedTable(spark, path).read()
 
 
 LANDING_KEYS = ("source_id", "millesime", "run_ts")

@@ -87,10 +87,10 @@ add(
     "UNION ALL SELECT 'S12', 'FAILED', NULL) GROUP BY source_id, status",
 )
 _content = "concat_ws(';', iris, disp_med21, disp_tp6021, disp_pimpot21)"
+_files = f"SELECT left(iris, 1) AS part, string_agg({_content} || chr(10), '' ORDER BY {_content}) AS body FROM raw_filosofi_iris GROUP BY 1"
 add(
     "content_checksum",
-    f"SELECT iris AS path, md5({_content}) AS checksum_md5, "
-    f"CAST(strlen({_content}) AS BIGINT) AS file_size_bytes FROM raw_filosofi_iris",
+    f"SELECT part, md5(body) AS checksum_md5, CAST(strlen(body) AS BIGINT) AS file_size_bytes FROM ({_files})",
 )
 add(
     "normalize_headers",
@@ -441,6 +441,41 @@ add(
     "SELECT code_iris, concat('Cité ', lib_iris) AS lib_iris, code_bv, lib_bv FROM raw_internal_bv_iris",
 )
 
+add("chain_from_files", _basin_table)
+_built = {
+    "silver_referentiel_iris": "areas", "silver_filosofi": "income", "silver_rp_population": "population",
+    "silver_rp_activite": "activity", "silver_rp_logement": "housing", "silver_bpe": "facilities",
+    "gold_indicateurs_s": "pillar_s", "gold_indicateurs_g": "pillar_g",
+}
+_arrived = {
+    "S01": "raw_filosofi_iris", "S02": "raw_rp_population_iris", "S03": "raw_rp_activite_iris", "S04": "raw_rp_logement_iris",
+    "S05": "raw_bpe_iris", "S11": "raw_zrr_communes", "S12": "raw_internal_bv_iris",
+}
+add(
+    "chain_without_a_source",
+    " UNION ALL ".join(
+        [f"SELECT 'source' AS what, '{s}' AS name, 'SUCCESS' AS status, count(*) AS n FROM {raw}" for s, raw in _arrived.items()]
+        + [f"SELECT 'table', '{name}', 'BUILT', count(*) FROM {cte}" for name, cte in _built.items()]
+        + ["SELECT 'source', 'S09', 'FAILED', NULL"]
+        + [
+            f"SELECT 'table', '{name}', 'SKIPPED', NULL"
+            for name in ("silver_passoires_energetiques", "gold_indicateurs_e", "gold_esg_iris_final", "gold_esg_bassin_vie_final")
+        ]
+    ),
+)
+_shrunk = "(SELECT count(*) AS a, count(*) FILTER (ends_with(iris, '0000')) AS b FROM raw_filosofi_iris)"
+add(
+    "ingest_drift",
+    " UNION ALL ".join(
+        f"SELECT '{ts}' AS run_ts, {n} AS row_count, 'SUCCESS' AS status, true AS digest, true AS sized, {note} AS notes FROM {_shrunk}"
+        for ts, n, note in (
+            ("20240101_000000", "a", "NULL"), ("20240102_000000", "a", "NULL"),
+            ("20240103_000000", "b",
+             "CASE WHEN (a - b) * 100.0 / a > 20 THEN printf('row count %d -> %d: %.4f %% of drift, limit 20 %%', a, b, (a - b) * 100.0 / a) END"),
+        )
+    ),
+)
+
 # --- data quality --------------------------------------------------------------------------------
 
 LAYER = {

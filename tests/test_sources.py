@@ -148,7 +148,7 @@ def test_bronze_replace_is_idempotent_and_append_adds(spark, tmp_path):
     tabular.load_bronze(df, path)
     assert tabular.load_bronze(df, path).count() == 3
     assert tabular.load_bronze(df, path, "append").count() == 6
-    assert {t for _, t in spark.read.parquet(path).dtypes} == {"string"}
+    assert {t for _, t in tabular.read_bronze(spark, path).dtypes} == {"string"}
 
 
 def test_landed_runs_are_pruned(spark, text_frame, tmp_path):
