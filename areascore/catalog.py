@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areascore.functions import codes, numbers, scores, text
-from areascore.operators import keys, profile
+from areascore.operators import keys, profile, sketches
 from areascore.operators.ranking import with_percent_rank
 from areascore.plans import gold, reports, silver
 from areascore.plans.chain import run_chain as run_whole_chain
@@ -527,6 +527,27 @@ def basin_counts(spark, d):
     return gold.roll_up(_table(spark, d, MASTER), gold.basin_counts())
 
 
+@query
+def distinct_rollup(spark, d):
+    """Distinct parts per nation from sketches stored per customer, beside the exact count and the sketches' bound."""
+    owned = given(spark, d, "lineitem").join(given(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+    owned = owned.join(given(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    per_area = stage(sketches.distinct_sketches(owned, ["c_nationkey", "c_custkey"], "l_partkey"), "sketches")
+    merged = sketches.estimates(sketches.merged_sketches(per_area, ["c_nationkey"]))
+    exact = owned.groupBy("c_nationkey").agg(F.count_distinct("l_partkey").alias("exact"))
+    bound = F.col("exact") * (4 * sketches.relative_error())
+    return exact.join(merged, "c_nationkey").select("c_nationkey", "exact", (F.abs(F.col("distinct") - F.col("exact")) <= bound).alias("within"))
+
+
+@query
+def facilities_within_perimeter(spark, d):
+    """Facilities of stored areas, records from elsewhere dropped before they are summed."""
+    tables = layers(spark, d)
+    areas = stage(tables.table(AREAS).select("iris_code"), "areas")
+    built = silver.build("silver_bpe", tables.raw("raw_bpe_iris"), areas, prefilter=True)
+    return built.select("iris_code", "nb_equipements_total", "nb_equip_sante", "nb_medecins_generalistes")
+
+
 @query
 def zrr_communes(spark, d):
     return layers(spark, d).communes

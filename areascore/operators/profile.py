@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from areascore.functions.numbers import mean
+from areascore.operators.order import ordered_key, rows_below
+from areascore.sources.storage import stage
 
 
 def profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -39,12 +41,10 @@ def correlation(df: DataFrame, left: str, right: str) -> DataFrame:
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Frequency of each known value of each column.
-
-    For scores between 0 and 100 with two decimals this is at most 10 001 rows per column.
-    """
+    """Frequency of each known value of each column, written once: what follows reads it several times."""
     long = df.select(*columns).unpivot([], list(columns), "pillar", "value")
-    return long.where(F.col("value").isNotNull()).groupBy("pillar", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = long.where(F.col("value").isNotNull()).groupBy("pillar", "value").agg(F.count(F.lit(1)).alias("n"))
+    return stage(counts, "value_counts")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFrame:
@@ -54,9 +54,9 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
     Decimals are placed exactly, up to 38 digits of the value times ``bins``.
     """
     counts = value_counts(df, columns)
-    per_pillar = Window.partitionBy("pillar")
-    low, high = F.min("value").over(per_pillar), F.max("value").over(per_pillar)
-    ranged = counts.withColumn("low", low).withColumn("high", high)
+    # One row per column, so the broadcast is bounded by the columns that were asked for.
+    ranges = counts.groupBy("pillar").agg(F.min("value").alias("low"), F.max("value").alias("high"))
+    ranged = counts.join(F.broadcast(ranges), "pillar")
     flat = F.col("low") == F.col("high")
     half = F.lit(Decimal("0.5"))
     ranged = ranged.select(
@@ -87,18 +87,20 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30) -> DataFram
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact median per column, from the frequency of each value rather than from sorted rows."""
-    values = df.select(*(F.col(c).cast("double").alias(c) for c in columns)).unpivot([], list(columns), "pillar", "value")
-    counts = values.where(F.col("value").isNotNull()).groupBy("pillar", "value").agg(F.count(F.lit(1)).alias("n"))
-    up_to = Window.partitionBy("pillar").orderBy("value")
-    whole = Window.partitionBy("pillar")
-    placed = counts.withColumn("_last", F.sum("n").over(up_to)).withColumn("_all", F.sum("n").over(whole))
-    first = F.col("_last") - F.col("n") + 1
-    covers = lambda place: (first <= place) & (place <= F.col("_last"))
-    lower = F.expr("(_all + 1) div 2")
-    upper = F.expr("(_all + 2) div 2")
+    """Exact median per column, from the frequency of each value rather than from sorted rows.
+
+    Values are numbered level by level, see ``rows_below``. Integers and decimals of up to 18 digits
+    are told apart at every level; so are doubles down to the sixth decimal, and exactly within a bucket.
+    """
+    values = value_counts(df, columns)
+    kind = values.schema["value"].dataType
+    counts = values.withColumn("_key", ordered_key(F.col("value"), kind))
+    placed = rows_below(counts, "value", "n", by=["pillar"], key="_key")
+    covers = lambda place: (F.col("_below") < place) & (place <= F.col("_below") + F.col("n"))
+    lower = F.expr("(_total + 1) div 2")
+    upper = F.expr("(_total + 2) div 2")
+    value = F.col("value").cast("double")
     middle = placed.groupBy("pillar").agg(
-        F.max(F.when(covers(lower), F.col("value"))).alias("_lower"),
-        F.max(F.when(covers(upper), F.col("value"))).alias("_upper"),
+        F.max(F.when(covers(lower), value)).alias("_lower"), F.max(F.when(covers(upper), value)).alias("_upper")
     )
     return middle.select("pillar", ((F.col("_lower") + F.col("_upper")) / 2.0).alias("median"))

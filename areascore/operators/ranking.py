@@ -6,13 +6,12 @@ frequency table, the frequencies are summed from the left, and the result is loo
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areascore.functions.numbers import RATIO
+from areascore.operators.order import rows_below
 
-# 2^20 consecutive integers share a bucket, so no bucket holds more than 2^20 frequency rows.
-BUCKET_BITS = 20
 # A value is hot when it holds at least one part in this many of all rows: at most that many values are.
 HOT_PARTS = 4096
 
@@ -20,36 +19,10 @@ HOT_PARTS = 4096
 def cumulative_frequencies(panel: DataFrame, value: str) -> DataFrame:
     """One row per distinct integer value: its count, the rows below it, and the total.
 
-    Two levels keep every window small. Inside a bucket there are at most 2^20 distinct values. Over all
-    buckets there is one row each, and d buckets of non-negative values need a panel total of about
-    d^2 * 2^19, so a panel whose values add up to 10^15 has fewer than 50 000 buckets. The only
-    single-task window is the one over these bucket totals.
+    The counts are summed up level by level, see ``rows_below``: no window holds more than one bucket.
     """
-    frequencies = (
-        panel.groupBy(F.col(value).cast("bigint").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.shiftright("_value", BUCKET_BITS))
-    )
-    up_to_previous = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    buckets = (
-        frequencies.groupBy("_bucket")
-        .agg(F.sum("_n").alias("_bucket_n"))
-        .select(
-            "_bucket",
-            F.coalesce(F.sum("_bucket_n").over(up_to_previous), F.lit(0)).alias("_before_bucket"),
-            F.sum("_bucket_n").over(whole).alias("_total"),
-        )
-    )
-    inside = (
-        Window.partitionBy("_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    below = F.col("_before_bucket") + F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    # Every value has a bucket. A left join says the same as an inner one but adds no NULL filter to one
-    # side only, so that both sides read the same shuffled frequencies.
-    return frequencies.join(buckets, "_bucket", "left").select(
-        "_value", "_n", below.alias("_below"), "_total"
-    )
+    frequencies = panel.groupBy(F.col(value).cast("bigint").alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    return rows_below(frequencies, "_value", "_n")
 
 
 def with_percent_rank(panel: DataFrame, value: str, key: str, output: str) -> DataFrame:

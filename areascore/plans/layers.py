@@ -81,7 +81,7 @@ class Layers:
             return gold.basin_final(self.table("gold_esg_iris_final"))
         areas = self.table("silver_referentiel_iris")
         if name in silver.CLEANERS:
-            return silver.build(name, self.raw(silver.CLEANERS[name][0]), areas)
+            return silver.build(name, self.raw(silver.CLEANERS[name][0]), areas, prefilter=self._stored)
         if name == "gold_indicateurs_e":
             return gold.environment(
                 areas,

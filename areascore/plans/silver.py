@@ -27,7 +27,7 @@ from areascore.functions.numbers import (
     percentage,
     zero_if_null,
 )
-from areascore.operators.keys import first_per_key, valid_keys, within_perimeter
+from areascore.operators.keys import first_per_key, key_bits, maybe_known, valid_keys, within_perimeter
 from areascore.settings import MODEL_VERSION, VINTAGES
 
 # Published column -> clean column, with the decimal type of the clean one.
@@ -302,10 +302,16 @@ def facility_measures() -> dict[str, Column]:
     }
 
 
-def clean_facilities(raw: DataFrame) -> DataFrame:
-    """One row per area. The sums are combined before the shuffle, so a crowded area is no hot spot."""
+def clean_facilities(raw: DataFrame, perimeter: DataFrame | None = None) -> DataFrame:
+    """One row per area. The sums are combined before the shuffle, so a crowded area is no hot spot.
+
+    ``perimeter``, a bit map of area codes, drops records of other areas before they are summed.
+    """
     measures = [column.alias(name) for name, column in facility_measures().items()]
-    records = with_measure_numbers(facility_records(raw))
+    found = facility_records(raw)
+    if perimeter is not None:
+        found = maybe_known(found, perimeter)
+    records = with_measure_numbers(found)
     totals = records.groupBy("iris_code").agg(
         F.sum("nb_equipements").alias("nb_equipements_total"), *measures
     )
@@ -339,10 +345,15 @@ CLEANERS = {
 }
 
 
-def build(table: str, raw: DataFrame, areas: DataFrame) -> DataFrame:
+def build(table: str, raw: DataFrame, areas: DataFrame, prefilter: bool = False) -> DataFrame:
     """A silver table other than the referential, limited to the perimeter.
 
     For facilities the semi join comes after the aggregation: the grouped rows are already partitioned by
-    area, and so is the referential, so the join needs no further shuffle and never sees a hot key.
+    area, and so is the referential, so the join needs no further shuffle and never sees a hot key. With
+    ``prefilter``, for stored areas, a bit map of their codes drops most records from elsewhere at the scan.
     """
-    return within_perimeter(CLEANERS[table][1](raw), areas)
+    if prefilter and table == "silver_bpe":
+        cleaned = clean_facilities(raw, key_bits(areas))
+    else:
+        cleaned = CLEANERS[table][1](raw)
+    return within_perimeter(cleaned, areas)

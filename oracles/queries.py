@@ -311,6 +311,15 @@ _long = " UNION ALL ".join(
     f"SELECT '{c}' AS pillar, CAST({c} * 100 AS BIGINT) AS x FROM master WHERE {c} IS NOT NULL"
     for c in ("score_env_0_100", "score_social_0_100", "score_gouvernance_0_100")
 )
+add(
+    "distinct_rollup",
+    "SELECT CAST(c_nationkey AS BIGINT) AS c_nationkey, count(DISTINCT l_partkey) AS exact, true AS within FROM lineitem JOIN orders ON l_orderkey = o_orderkey "
+    "JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey",
+)
+add(
+    "facilities_within_perimeter",
+    select("facilities", "iris_code", longs("nb_equipements_total", "nb_equip_sante", "nb_medecins_generalistes")),
+)
 add(
     "score_histogram",
     f"SELECT pillar, bin, n, round((lo + (hi - lo) * bin / 30) / 100, 6) AS lower_edge FROM ("

@@ -9,7 +9,7 @@ from conftest import plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from areascore.operators import keys, profile, ranking
+from areascore.operators import keys, order, profile, ranking, sketches
 from areascore.plans import silver
 
 PANELS = {
@@ -36,12 +36,80 @@ def test_percent_rank_equals_the_window_function(spark, monkeypatch, name, hot_p
     assert both.where("r IS NULL OR abs(r - w) > 0.0000000001").count() == 0
 
 
-def test_percent_rank_sorts_only_bucket_totals_in_one_task(spark):
+def test_percent_rank_has_no_window_over_all_values(spark):
     panel = spark.range(1000).withColumn("v", F.col("id") % 7)
     plan = plan_of(ranking.with_percent_rank(panel, "v", "id", "r"))
-    for before, line in zip(plan.splitlines(), plan.splitlines()[1:]):
-        if "SinglePartition" in before:
-            assert "HashAggregate(keys=[_bucket" in line
+    lines = plan.splitlines()
+    for line, below in zip(lines, lines[1:]):
+        if "SinglePartition" in line:  # the top level
+            assert "_up#" in below and "functions=[sum(_n#" in below
+    windows = [line for line in lines if " Window [" in line]
+    assert sum("_up#" not in line for line in windows) <= 2 < len(windows)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(18,6)", "decimal(30,6)"])
+def test_rows_below_against_a_sort(spark, kind):
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    many = np.concatenate([rnd.integers(-(10**12), 10**12, 400), rnd.integers(-5, 5, 400), [0, 2**21, 2**21 - 1, -(2**21), -1, 10**11]])
+    rows = [(int(v), "ab"[int(v) % 2]) for v in many]
+    frame = spark.createDataFrame(rows, "v long, g string").select((F.col("v") / 1).cast("decimal(24,6)").alias("d"), "v", "g")
+    value = F.col("v") if kind == "bigint" else (F.col("d") / 64).cast(kind)
+    counts = frame.select(value.alias("v"), "g").groupBy("v", "g").agg(F.count(F.lit(1)).alias("n"))
+    keyed = counts.withColumn("k", order.ordered_key(F.col("v"), counts.schema["v"].dataType))
+    got = order.rows_below(keyed, "v", "n", by=["g"], key="k").collect()
+    assert len(got) == counts.count()
+    for group in "ab":
+        mine = sorted((r["v"], r["n"], r["_below"], r["_total"]) for r in got if r["g"] == group)
+        before = 0
+        for _, n, below, total in mine:
+            assert (below, total) == (before, sum(m[1] for m in mine))
+            before += n
+
+
+def test_order_of_doubles_beyond_the_parts(spark):
+    rows = spark.createDataFrame([(float(v),) for v in ("1e300", "-1e300", "1e-9", "2e-9", "3e-9", "inf", "-inf")], "a double")
+    assert profile.medians(rows, ["a"]).first()["median"] == 2e-9
+    assert profile.medians(rows.where("a > 1e-12"), ["a"]).first()["median"] == 3e-9
+
+
+# --- sketches and the perimeter filter -----------------------------------------------------------
+
+
+def test_distinct_sketches_roll_up_within_their_bound(spark):
+    rows = spark.range(200_000).select((F.col("id") % 40).alias("area"), (F.col("id") % 4).alias("basin"), F.pmod(F.xxhash64("id"), F.lit(70_000)).alias("v"))
+    stored = sketches.distinct_sketches(rows, ["basin", "area"], "v")
+    exact = {r["basin"]: r["n"] for r in rows.groupBy("basin").agg(F.count_distinct("v").alias("n")).collect()}
+    merged = sketches.estimates(sketches.merged_sketches(stored, ["basin"])).collect()
+    assert len(merged) == 4
+    for r in merged:
+        assert abs(r["distinct"] - exact[r["basin"]]) <= 3 * sketches.relative_error() * exact[r["basin"]]
+    # The union of all says what one sketch of all rows says.
+    whole = sketches.estimates(sketches.merged_sketches(stored, [])).first()["distinct"]
+    assert abs(whole - rows.select("v").distinct().count()) <= 3 * sketches.relative_error() * whole
+    nothing = spark.createDataFrame([(1, None)], "area int, v string")
+    assert sketches.estimates(sketches.distinct_sketches(nothing, ["area"], "v")).first()["distinct"] == 0
+
+
+def test_perimeter_filter_drops_rows_at_the_scan(spark, tmp_path):
+    from areascore.plans import silver
+
+    spark.range(300).select(F.format_string("%09d", F.col("id") * 7).alias("iris_code")).write.parquet(str(tmp_path / "areas"))
+    spark.range(30_000).select(
+        F.format_string("%09d", F.col("id") % 21_000).alias("geo"), F.lit("A206").alias("facility_type"), F.lit("A").alias("facility_dom"), F.lit("1").alias("obs_value")
+    ).write.parquet(str(tmp_path / "facts"))
+    areas, facts = (spark.read.parquet(str(tmp_path / n)) for n in ("areas", "facts"))
+    built = silver.build("silver_bpe", facts, areas, prefilter=True)
+    plan = plan_of(built)
+    fact_side = plan[plan.index("partial_sum"):]
+    assert fact_side.index("BroadcastHashJoin") < fact_side.index("FileScan")
+    assert built.exceptAll(silver.build("silver_bpe", facts, areas)).isEmpty() and built.count() == 300
+    records = silver.facility_records(facts)
+    inside = records.join(areas, "iris_code", "left_semi").count()
+    kept = keys.maybe_known(records, keys.key_bits(areas, "iris_code"), "iris_code")
+    assert kept.columns == records.columns and inside <= kept.count() <= inside + 30_000 // 1000
+    assert keys.maybe_known(records, keys.key_bits(areas.where("false"), "iris_code"), "iris_code").isEmpty()
 
 
 def test_first_per_key_takes_the_first_in_order_for_a_crowded_key(spark):
