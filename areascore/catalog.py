@@ -136,6 +136,17 @@ def discover_header(spark, d):
     return found.select("header_row", F.array_join("columns", ",").alias("columns")).distinct()
 
 
+@query
+def rows_below_header(spark, d):
+    """Rows of files with different preambles and headers in different order."""
+    raw = raw_table(spark, d, "raw_passoires_energetiques_iris")
+    path = fresh_path(spark, "below")
+    turned = raw.select(*reversed(raw.columns))
+    for k, (part, above) in enumerate(((raw.where("total > '5'"), ["Zonage", "source;2021;x"]), (turned.where("total <= '5'"), []))):
+        packing.lines_with_preamble(part, above).write.text(f"{path}/{k}")
+    return tabular.rows_below_header(spark, [f"{path}/0", f"{path}/1"], ("district", "nombre", "taux"), raw.columns)
+
+
 @query
 def bronze_load(spark, d):
     raw = raw_table(spark, d, "raw_zrr_communes")

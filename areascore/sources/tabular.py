@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -11,9 +10,11 @@ from pyspark.sql import types as T
 
 from areascore.functions.numbers import nullify_tokens
 from areascore.functions.text import header_name_column, header_names
+from areascore.sources.lines import ODD_LINE, cells, first_lines, numbered_lines, table_of
 from areascore.sources.versions import VersionedTable
 
 HEADER_CANDIDATES = 10
+MAX_HEADER_CELLS = 256
 
 # What the Windows code page puts where Latin-1 has control characters, by byte.
 WINDOWS_1252 = {
@@ -98,27 +99,72 @@ def _repair_windows(text: Column) -> Column:
 def scan_encoding_fallback(
     spark: SparkSession, path: str | Sequence[str], sep: str = ";", columns: Sequence[str] | None = None
 ) -> DataFrame:
-    """Delimited files in a mixture of encodings.
+    """Delimited files in a mixture of encodings, each read as its own.
 
-    The verdicts, one short row per file, come to the driver, which holds the list of files to plan the
-    scan anyway; the files themselves are then read by one distributed scan per encoding.
+    One scan reads the lines of all files undecoded; verdict and header of a file meet them by its path, in the plan. A
+    file whose header is not the expected one fails the job. The names, if not given, are those of the first file.
     """
-    by_encoding: dict[str, list[str]] = {}
-    for row in file_encodings(spark, path).collect():
-        by_encoding.setdefault(row["encoding"], []).append(row["path"])
-    parts = []
-    for encoding, paths in sorted(by_encoding.items()):
-        charset = "UTF-8" if encoding == "utf-8" else LATIN_1
-        part = scan_delimited(spark, paths, sep, charset, columns)
-        if encoding == "cp1252":
-            part = part.select(*(_repair_windows(F.col(f"`{c}`")).alias(c) for c in part.columns))
-            part = part.toDF(*map(_repair_name, part.columns))
-        parts.append(part)
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def _repair_name(name: str) -> str:
-    return name.translate(WINDOWS_1252)
+    lines = numbered_lines(spark, path)
+    judged = file_encodings(spark, path).withColumnRenamed("path", "file_path")
+    heads = first_lines(lines, 1).join(judged, "file_path").select(
+        "file_path", F.col("row").alias("head_row"), _decoded("line").alias("head"), "encoding"
+    )
+    if columns is None:
+        first = heads.orderBy("file_path").select("head").first()
+        columns = _split_names(spark, first["head"], sep) if first else []
+    names = list(columns)
+    if not names:
+        return spark.createDataFrame([], T.StructType())
+    found = F.array(*(cells(F.col("head"), names, sep)[n] for n in names))
+    wrong = (found != F.array(*map(F.lit, names))) | cells(F.col("head"), names, sep)[ODD_LINE].isNotNull()
+    told = F.concat(F.lit("another header than the expected one in "), "file_path")
+    files = heads.where(F.when(wrong, F.raise_error(told).cast("boolean")).otherwise(True)).drop("head")
+    body = lines.join(files, "file_path").where((F.col("block") > 0) | (F.col("row") > F.col("head_row")))
+    return table_of(body.select(_decoded("line").alias("line")), names, sep)
+
+
+def _split_names(spark: SparkSession, header: str, sep: str) -> list[str]:
+    """Names in a header line, as the delimited reader has them."""
+    many = [f"c{k}" for k in range(header.count(sep) + 1)]
+    one = spark.range(1).select(cells(F.lit(header), many, sep).alias("c")).select("c.*").drop(ODD_LINE).first()
+    return [n for n in one if n is not None]
+
+
+def _decoded(line: str) -> Column:
+    """Undecoded text as its file's ``encoding`` has it."""
+    octets = F.col(line).cast("binary")
+    plain = F.decode(octets, LATIN_1)
+    return (
+        F.when(F.col("encoding") == "utf-8", F.col(line))
+        .when(F.col("encoding") == "cp1252", F.translate(plain, "".join(map(chr, WINDOWS_1252)), "".join(WINDOWS_1252.values())))
+        .otherwise(plain)
+    )
+
+
+def rows_below_header(
+    spark: SparkSession, path: str | Sequence[str], keys: Sequence[str], columns: Sequence[str], sep: str = ";"
+) -> DataFrame:
+    """Rows of files whose header stands below some lines of preamble, in the order of ``columns`` by name.
+
+    The header is found as in ``discover_header``; files without one fail the job. Names may stand in any order, with others
+    between, and are compared as ``normalize_headers`` has them.
+    """
+    lines = numbered_lines(spark, path)
+    wanted = F.array(*(F.lit(k) for k in header_names(list(keys))))
+    names = F.transform(F.split("line", _literal(sep)), lambda c: header_name_column(F.btrim(c, F.lit('"'))))
+    tops = first_lines(lines, HEADER_CANDIDATES).withColumn("names", names)
+    fits = F.size(F.array_except(wanted, "names")) == 0
+    order = F.when(fits, F.col("number"))
+    heads = tops.groupBy("file_path").agg(F.min(order).alias("n"), F.min_by("names", order).alias("names"), F.min_by("row", order).alias("head_row"))
+    told = F.concat(F.lit(f"no header with {sorted(header_names(list(keys)))} in the first lines of "), "file_path")
+    heads = heads.where(F.when(F.col("n").isNull(), F.raise_error(told).cast("boolean")).otherwise(True))
+    body = lines.join(heads, "file_path").where((F.col("block") > 0) | (F.col("row") > F.col("head_row")))
+    body = body.where(F.length(F.trim("line")) > 0)
+    # Cells are cut once, as many as a header may have; a header's names say which of them is which.
+    many = [f"c{k}" for k in range(MAX_HEADER_CELLS)]
+    cut = body.select("names", cells(F.col("line"), many, sep).alias("c")).select("names", F.array(*(f"c.{c}" for c in many)).alias("cut"))
+    place = lambda c: F.array_position("names", c)
+    return cut.select(*(F.when(place(c) > 0, F.try_element_at("cut", place(c).cast("int"))).alias(c) for c in columns))
 
 
 def discover_header(

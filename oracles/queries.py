@@ -55,6 +55,7 @@ add(
     "SELECT CAST(2 AS BIGINT) AS header_row, "
     "'district,city,nom_de_la_cite,department,nombre,taux,total' AS columns",
 )
+add("rows_below_header", "SELECT * FROM raw_passoires_energetiques_iris")
 add("bronze_load", "SELECT * FROM raw_zrr_communes UNION ALL SELECT * FROM raw_zrr_communes")
 _null_tokens = (
     "'s','nd','ND','S','nc','NC','',' ','n.d.','N/A','#N/A','#N/A N/A','#NA','-1.#IND','-1.#QNAN','-NaN',"

@@ -58,6 +58,37 @@ def test_encoding_falls_back_per_file(spark, tmp_path):
     assert {r[0]: r[1] for r in df.collect()} == {"1": "été €", "2": "été € œ", "3": "plain", "4": "é\x81x"}
 
 
+def test_a_file_with_another_header_fails(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes("code;libellé\n1;été\n".encode())
+    (tmp_path / "b.csv").write_bytes("code;libellé\n2;été\n".encode("cp1252"))
+    assert tabular.scan_encoding_fallback(spark, str(tmp_path)).count() == 2
+    (tmp_path / "c.csv").write_bytes("libellé;code\nété;3\n".encode("cp1252"))
+    with pytest.raises(PySparkException, match="another header"):
+        tabular.scan_encoding_fallback(spark, str(tmp_path)).collect()
+    (tmp_path / "c.csv").write_bytes("code;libellé\n3;a;b\n".encode("cp1252"))
+    with pytest.raises(PySparkException, match="beyond the 2"):
+        tabular.scan_encoding_fallback(spark, str(tmp_path)).collect()
+
+
+def test_rows_below_headers_of_cut_files(spark, tmp_path):
+    body = "".join(f"{k};é {k};\n" if k % 3 else f'{k};"a;""b""";x\n' for k in range(3000))
+    (tmp_path / "a.txt").write_text("Zone\n\nsource;2021\nDISTRICT;Nom de la Cité;taux\n" + body)
+    (tmp_path / "b.txt").write_text("taux;more;district\n7;;900001\n")
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "7000")
+    try:
+        found = tabular.rows_below_header(spark, str(tmp_path), ("district", "taux"), ["district", "nom_de_la_cite", "taux"])
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 3
+        rows = {r["district"]: (r["nom_de_la_cite"], r["taux"]) for r in found.collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert len(rows) == 3001 and rows["1"] == ("é 1", None) and rows["3"] == ('a;"b"', "x") and rows["900001"] == (None, "7")
+    (tmp_path / "c.txt").write_text("no;header\n1;2\n")
+    with pytest.raises(PySparkException, match="no header with"):
+        tabular.rows_below_header(spark, str(tmp_path), ("district",), ["district"]).collect()
+
+
 def write_zip(path, entries):
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
         for name, text in entries.items():
