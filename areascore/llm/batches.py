@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 
 #: Bytes of text a task works on at once; a longer text is worked on alone.
 CHUNK_BYTES = 1 << 21
@@ -27,3 +30,19 @@ def chunks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = C
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(column).to_pylist()]
+
+
+class Shared:
+    """A broadcast of objects of this package, which executors need not have: classes travel with the value."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self._packed, self._value = spark.sparkContext.broadcast(cloudpickle.dumps(value)), value
+
+    def __getstate__(self) -> dict:
+        return {"_packed": self._packed, "_value": None}
+
+    @property
+    def value(self) -> object:
+        if self._value is None:  # once per task
+            self._value = pickle.loads(self._packed.value)
+        return self._value

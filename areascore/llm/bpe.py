@@ -18,7 +18,7 @@ import json
 import re
 import sys
 from collections.abc import Iterable, Iterator
-from os.path import commonprefix
+from itertools import islice
 from types import ModuleType
 
 import numpy as np
@@ -28,8 +28,9 @@ from pyspark.sql import types as T
 
 from areascore.llm.batches import chunks, texts
 
-#: Distinct words whose ids a task keeps; beyond it the store starts anew.
+#: Distinct words whose ids and decoded text a task keeps; beyond it the older half goes.
 KEPT_WORDS = 300_000
+LONG_WORD = 200
 END = "</w>"
 NEVER = 1 << 60
 #: First character of a word that is already split; a private character, so such texts take that way themselves.
@@ -63,7 +64,14 @@ class WordEncoder:
         pairs = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in merges]
         self.rank = {(vocab[a], vocab[b]): (r, vocab[a + b]) for r, (a, b) in enumerate(pairs)}
         self.names = {i: t for t, i in vocab.items()}
-        self.longest = max((len(t.removesuffix(END)) for t in vocab), default=1)
+        self.open, self.closed = {}, {}  # every end of a token's name without and with a word end: the token, or None
+        for name, token in vocab.items():
+            if name != END:
+                body = name.removesuffix(END)
+                tails = self.open if body == name else self.closed
+                for k in range(1, len(body)):
+                    tails.setdefault(body[k:], None)
+                tails[body] = token
         self._joins: dict[tuple[int, int], bool] = {}
         self._ends: dict[int, tuple[list, list] | None] = {}
 
@@ -109,39 +117,56 @@ class WordEncoder:
             self._joins[left, right] = known
         return known
 
-    def _last(self, word: str, depth: int, states: list[tuple[int, int]], suffix: str) -> tuple[int, int]:
-        """The token that ends ``word[:depth]`` (followed by ``suffix``), and where it starts."""
-        vocab, joins, ends = self.vocab, self._joins, self._ends
-        for start in range(max(0, depth - self.longest), depth):
-            token = vocab.get(word[start:depth] + suffix)
-            if token is None:
-                continue
+    def _last(self, word: str, depth: int, states: list[tuple[int, int]], tails: dict[str, int | None]) -> tuple[int, int]:
+        """The token that ends ``word[:depth]``, and where it starts; ``tails`` are those of tokens that may stand there."""
+        joins, ends, found = self._joins, self._ends, []
+        for start in range(depth - 1, -1, -1):
+            token = tails.get(word[start:depth], NEVER)
+            if token == NEVER:  # no token is as long
+                break
+            if token is not None:
+                found.append((token, start))
+        for token, start in reversed(found):
             if (ends[token] if token in ends else self.ends(token)) is None:
                 continue
             if start == 0:
                 return token, start
-            pair = states[start - 1][0], token
+            before = states[start - 1]
+            if before is None:
+                before = states[start - 1] = self._last(word, start, states, self.open)
+            pair = before[0], token
             if joins[pair] if pair in joins else self.may_follow(*pair):
                 return token, start
         raise ValueError(f"no token ends {word[:depth]!r}")
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of each distinct word; words are letters that stand for bytes."""
+        """Packed ids of each distinct word; words are letters that stand for bytes.
+
+        The state of a prefix is found when a word first asks for it, and kept for the words that share it.
+        """
         before, out = "", {}
-        states: list[tuple[int, int]] = []
+        states: list[tuple[int, int] | None] = []
         for word in sorted(words):
             body = word[:-1]
-            shared = len(commonprefix((before, body)))
+            shared, least = 0, min(len(before), len(body))
+            while shared < least and before[shared] == body[shared]:
+                shared += 1
             del states[shared:]
-            for depth in range(shared + 1, len(word)):
-                states.append(self._last(word, depth, states, ""))
+            states += [None] * (len(body) - shared)
+            if len(body) > LONG_WORD:  # from the front, so that no question goes deep
+                for depth in range(1, len(word)):
+                    states[depth - 1] = states[depth - 1] or self._last(word, depth, states, self.open)
             before = body
-            token, start = self._last(word, len(word), states, END)
+            token, start = self._last(word, len(word), states, self.closed)
             ids = [token]
             while start:
-                token, start = states[start - 1]
+                state = states[start - 1]
+                if state is None:
+                    state = states[start - 1] = self._last(word, start, states, self.open)
+                token, start = state
                 ids.append(token)
-            out[word] = b"".join([i.to_bytes(4, "little") for i in reversed(ids)])
+            ids.reverse()
+            out[word] = np.array(ids, "<u4").tobytes() if len(ids) > 8 else b"".join([i.to_bytes(4, "little") for i in ids])
         return out
 
 
@@ -159,6 +184,7 @@ class TextEncoder:
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.definition, self.library = definition, None
         self.known: dict[str, bytes] = {}
+        self.shown: dict[str, str] = {}
 
     def _words(self, text: str) -> list[str]:
         """Runs without white space; the words of a text of another script carry a mark and stand for bytes."""
@@ -179,32 +205,40 @@ class TextEncoder:
         return ["".join([letters[b] for b in piece.encode()]) for piece in PIECE.findall(word)]
 
     def encode(self, many: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text. New words of all texts are encoded in one walk."""
-        if len(self.known) > KEPT_WORDS:
-            self.known = {}
-        known = self.known
+        return [ids for ids, _ in self.coded(many)]
+
+    def coded(self, many: list[str]) -> list[tuple[bytes, str]]:
+        """Little-endian 32-bit ids of each text, and these decoded. New words of all texts are encoded in one walk."""
+        known, shown = self.known, self.shown
+        if len(known) > KEPT_WORDS:  # the older half goes
+            for word in list(islice(known, len(known) // 2)):
+                del known[word], shown[word]
         split, new = [], set()
         for text in many:
-            runs = self.cut.split(text) if self.cut and "<|" in text else [text]
             parts = []
-            for run in runs:
+            for run in self.cut.split(text) if self.cut and "<|" in text else [text]:
                 if run in self.special:
-                    parts.append(([], [np.array([self.special[run]], "<u4").tobytes()]))
+                    parts.append(([], [np.array([self.special[run]], "<u4").tobytes()], run))
                 elif run:
                     words = self._words(run)
                     ids = list(map(known.get, words))
                     if None in ids:
                         new.update([w for w, i in zip(words, ids) if i is None])
-                    parts.append((words, ids))
+                        ids = None
+                    parts.append((words, ids, None))
             split.append(parts)
         pieces = {w: self._pieces(w) for w in new}
         found = self.words.encode_words({p for each in pieces.values() for p in each})
         for word, each in pieces.items():
-            known[word] = b"".join([found[p] for p in each])
-        lookup = known.__getitem__
-        return [
-            b"".join([b"".join(map(lookup, words) if None in ids else ids) for words, ids in parts]) for parts in split
-        ]
+            known[word] = ids = b"".join([found[p] for p in each])
+            shown[word] = self.decode(ids)
+        out = []
+        for parts in split:
+            ids = [b"".join(map(known.__getitem__, words) if ids is None else ids) for words, ids, _ in parts]
+            # A word without ids is nowhere in the decoded text.
+            text = [" ".join(filter(None, map(shown.__getitem__, words))) if run is None else run for words, _, run in parts]
+            out.append((b"".join(ids), " ".join(filter(None, text))))
+        return out
 
     def decode(self, packed: bytes) -> str:
         """Tokens joined by a blank: the file names no decoder."""
@@ -233,10 +267,11 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", decode: bool = Tr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared_encoder(shared.value)
         for batch in chunks(batches, text):
-            ids = coder.encode(texts(batch, text))
-            columns = [*batch.columns, pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
+            coded = coder.coded(texts(batch, text))
+            ids = pa.array([ids for ids, _ in coded], pa.binary())
+            columns = [*batch.columns, pa.array([len(ids) // 4 for ids, _ in coded], pa.int64()), ids]
             if decode:
-                columns.append(pa.array([coder.decode(x) for x in ids], pa.string()))
+                columns.append(pa.array([decoded for _, decoded in coded], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return df.mapInArrow(run, schema)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areascore.llm.batches import chunks, texts
+from areascore.llm.batches import Shared, chunks, texts
 from areascore.llm.words import WordHashes, split_words
 from areascore.sources.storage import stage
 
@@ -224,7 +224,7 @@ def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def improved(rows: DataFrame, classes: int, model: Model) -> Model:
     """One Baum-Welch round over the ``symbols`` of all ``rows``."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(rows.sparkSession, model)
     states = len(model.start)
     names = [f"s{k}" for k in range(states)]
 
@@ -297,7 +297,7 @@ def coded(rows: DataFrame, head, size: int, rest: int) -> DataFrame:
 
 def likelihoods(rows: DataFrame, model: Model) -> DataFrame:
     """Replace ``symbols`` by ``score``, the exact log10 probability of the sequence."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(rows.sparkSession, model)
     kept = [n for n in rows.columns if n != "symbols"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +315,7 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.coalesce(training, F.lit(True)).alias("training"))
     learnt = rows.where("training")
     vocabulary = stage(word_counts(learnt), "vocabulary")
-    head = spark.sparkContext.broadcast(head_of(vocabulary))
+    head = Shared(spark, head_of(vocabulary))
     facts = head.value
     size, rest = facts.tokens + facts.distinct + 1, facts.rest_tokens + facts.rest_distinct + 1
     local = stage(coded(rows, head, size, rest), "coded")
@@ -332,7 +332,9 @@ def score(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "t
         F.sum(F.col("n") * F.log10((F.col("c") + 1.0) / float(rest))).alias("more_score"),
     )
     scored = likelihoods(local.drop("rare"), model).withColumn("score", F.col("score") + F.col("within"))
-    same = scored.groupBy("row", "key", "training", "n_tokens", "n_known", "base_score", "score").agg(F.count(F.lit(1)).alias("copies"))
+    # Copies may differ in the last bits of their scores, by the batch they were in; one of them stands for all.
+    sums = [F.min(n).alias(n) for n in ("n_known", "base_score", "score")]
+    same = scored.groupBy("row", "key", "training", "n_tokens").agg(*sums, F.count(F.lit(1)).alias("copies"))
     part = lambda name: F.coalesce(F.col(name) / F.col("copies"), F.lit(0.0))
     out = same.join(looked, "row", "left").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(

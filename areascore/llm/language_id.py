@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from areascore.llm.batches import chunks, texts
+from areascore.llm.batches import Shared, chunks, texts
 
 ORDER = 4
 DISCOUNT = 0.75
@@ -247,7 +247,7 @@ def train(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: st
     if counts.empty:
         return None
     model = kneser_ney(counts)
-    shared = labelled.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(labelled.sparkSession, model)
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, known = _letters_table(), {n: k for k, n in enumerate(shared.value.languages)}
@@ -275,7 +275,7 @@ def predict(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame
     ]
     df = df.drop(*(f.name for f in added if f.name != text))
     schema = T.StructType(df.schema.fields + added)
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(df.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters, own = _letters_table(), shared.value

@@ -40,7 +40,8 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op1_quality_rules(spark, sf_dir):
     judged = quality_rules.apply_rules(given(spark, sf_dir, "documents").select("doc_id", "text"))
-    return judged.drop("text")
+    asked = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select(*asked, *(c for c in judged.columns if c not in (*asked, "text")))
 
 
 _KNOWN = ", ".join(f"'{w}', '{w.capitalize()}'" for w in quality_rules.STOP_WORDS)
@@ -81,13 +82,15 @@ SELECT *, failed_rules = '' AS kept FROM v
 def op2_secret_scans(spark, sf_dir):
     spans = F.sort_array("secret_spans")
     base = F.filter(spans, lambda s: s["kind_order"] < len(secret_scan.BASE_KINDS))
-    count = lambda k: F.size(F.filter(spans, lambda s: s["kind_order"] == k)).cast("long")
+    count = lambda k: F.size(F.filter(spans, lambda s: s["kind_order"] == k)).cast("long").alias(f"n_{secret_scan.KINDS[k]}")
+    n_base = len(secret_scan.BASE_KINDS)
     found = secret_scan.scan(given(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
         "doc_id",
-        *(count(k).alias(f"n_{name}") for k, name in enumerate(secret_scan.KINDS)),
+        *map(count, range(n_base)),
         F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
         secret_scan.span_text(spans).alias("spans"),
+        *map(count, range(n_base, len(secret_scan.KINDS))),
     )
 
 
