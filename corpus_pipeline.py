@@ -29,10 +29,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of each group of linked documents; documents without id stay.
 
+    Of rows with one id and one text a single one stays, of one id with several texts every text.
+
     Documents are linked if their sets of SHINGLE words in a row have a similarity of PERCENT or more.
     """
     first = set_join.join(docs, shingle=SHINGLE, percent=PERCENT).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
 
 
