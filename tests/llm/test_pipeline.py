@@ -26,5 +26,5 @@ def test_stages(spark, tmp_path):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "jaccard_join", "decontamination", "secret_scans", "bpe_encoding"]
