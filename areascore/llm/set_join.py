@@ -5,12 +5,14 @@ Sets fall into size bands. For a band, the largest symmetric difference that two
 linked sets differ by less than a segment's value in at least one segment. A segment of value 1 is indexed as
 it is; one of value 2 is twice as wide and indexed with its one-deletion neighbourhood. ``allocate`` picks
 the split of the total into values 1 and 2 by expected cost. Both sides of a pair use the plan of the smaller
-set's band. Each document may leave out segments worth ``slack``, the emptiest first; the plan holds twice
-that in reserve, so no link is lost.
+set's band. Each document leaves out segments worth ``slack``, the emptiest first, so that segments with nothing or
+little in them are hardly ever indexed; the plan holds as much in reserve, so no link is lost (see ``allocate``).
 
-Equal sets are joined by a 128-bit digest and stand for one. Members of a segment's group are verified against
+Equal sets are joined by a 128-bit digest; one of them is indexed. Texts are cut into shingles once for sizes,
+images and index entries. Members of a segment's group are verified against
 the group's first member, which makes as many pairs as members; only groups that then still hold several
-components are paired further, across components and under an exact bound from 512-bit images of the
+components are paired further: the members outside the group's largest component with all members of other
+components, under an exact bound from 512-bit images of the
 sets. Links are verified on whole sets of 64-bit shingle hashes.
 
 Defined results: a text that is null or without words has an empty set, no links and itself as component; ids
@@ -19,6 +21,7 @@ are taken as unique (a repeated row repeats its result); a null id has a null co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,8 +37,8 @@ from areascore.llm.components import components
 from areascore.llm.words import ODD, WordHashes, mixed, shingle_sets, split_words
 from areascore.sources.storage import stage
 
-BAND_RATIO = 1.5
-SLACK = 0.05
+BAND_RATIO = 1.25
+SLACK = 0.25
 IMAGE_WORDS = 8
 #: Weight of a needless candidate against one index entry, and the share of shingles that are common.
 CANDIDATE_WEIGHT, COMMON = 100.0, 0.25
@@ -67,19 +70,24 @@ def bands(largest: int) -> tuple[int, ...]:
 
 @lru_cache(maxsize=4096)
 def allocate(low: int, high: int, percent: int) -> tuple[int, int, int]:
-    """Segments of value 1, segments of value 2, and slack, for sets of sizes ``low`` to ``high``."""
+    """Segments of value 1, segments of value 2, and slack, for sets of sizes ``low`` to ``high``.
+
+    With values of 1 only, segments that two sets have in common hold as many shingles in both, so both leave
+    out the first of them in one order (by count, then place): a reserve of ``slack`` is enough. A segment of
+    value 2 may hold one shingle more in one set, so with such segments the reserve is twice as large.
+    """
     need = differences(high, percent) + 1
-    slack = int(SLACK * need)
-    total, size = need + 2 * slack, (low + high) / 2
-    unit = size / total
+    slack = math.ceil(SLACK * need) if need > 1 else 0
+    size = (low + high) / 2
 
     def cost(double: int) -> float:
-        single = total - 2 * double
+        total = need + (2 * slack if double else slack)
+        single, unit = total - 2 * double, size / total
         needless = lambda width: CANDIDATE_WEIGHT * COMMON ** max(width, 0.0)
         return single * (1 + needless(unit)) + double * (2 * unit + 1) * (1 + needless(2 * unit - 1))
 
-    double = min(range(total // 2 + 1), key=cost)
-    return total - 2 * double, double, slack
+    double = min(range((need + 2 * slack) // 2 + 1), key=cost)
+    return need + (2 * slack if double else slack) - 2 * double, double, slack
 
 
 def signatures(values: np.ndarray, low: int, high: int, percent: int) -> np.ndarray:
@@ -133,34 +141,23 @@ def _image(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view("<i8")
 
 
-def described(rows: DataFrame, shingle: int) -> DataFrame:
-    """(id, n, digest, image words) of each set."""
+def described(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """(id, n, digest, image words, entries) of each set; entries is its list of index entries."""
 
     def run(batches):
         for ids, sets in _sets(batches, shingle):
             images = np.stack([_image(s) for s in sets]) if sets else np.zeros((0, IMAGE_WORDS), np.int64)
             digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            entries = [all_signatures(s, percent) if len(s) else s for s in sets]
+            ends = np.cumsum([0, *map(len, entries)]).astype(np.int32)
+            flat = np.concatenate(entries).view(np.int64) if entries else np.zeros(0, np.int64)
             columns = [ids, pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())]
             columns += [pa.array(np.ascontiguousarray(images[:, k])) for k in range(IMAGE_WORDS)]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "digest", *(f"b{k}" for k in range(IMAGE_WORDS))])
+            columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "digest", *(f"b{k}" for k in range(IMAGE_WORDS)), "entries"])
 
     words = ", ".join(f"b{k} long" for k in range(IMAGE_WORDS))
-    return rows.mapInArrow(run, f"id long, n long, digest binary, {words}")
-
-
-def indexed(rows: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(entry, id): the index entries of each set."""
-
-    def run(batches):
-        for ids, sets in _sets(batches, shingle):
-            entries = [all_signatures(s, percent) if len(s) else s for s in sets]
-            number = np.repeat(ids.to_numpy(zero_copy_only=False), [len(e) for e in entries])
-            flat = np.concatenate(entries).view(np.int64) if entries else np.zeros(0, np.int64)
-            for at in range(0, len(flat), 50_000):
-                part = slice(at, at + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(flat[part]), pa.array(number[part], pa.int64())], names=["entry", "id"])
-
-    return rows.where("id IS NOT NULL").mapInArrow(run, "entry long, id long")
+    return rows.mapInArrow(run, f"id long, n long, digest binary, {words}, entries array<long>")
 
 
 def packed(rows: DataFrame, shingle: int) -> DataFrame:
@@ -198,14 +195,24 @@ def _items(rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
 
 
 def _joined_across(rest, rows, side, possible, pairs, label, shingle: int, percent: int) -> DataFrame:
-    """``label`` after links between different components of a group; only the components are joined anew."""
-    one = side(rest.select("entry", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
+    """``label`` after links between different components of a group; only the components are joined anew.
+
+    The largest component of a group meets only the members outside of it, so a large group of near copies
+    with a few strangers makes as many pairs as members for each stranger.
+    """
+    sizes = rest.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("entry").agg(F.max(F.struct("c", "component")).alias("m")).select("entry", F.col("m.component").alias("main"))
+    outside = rest.join(main, "entry").where("component <> main")
+    one = side(outside.select("entry", "main", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
     two = side(rest.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-    across = one.join(two, "entry").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & possible)
-    across = stage(across.select("a", "b", "ca", "cb").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    # Of two members outside the largest component, the smaller id takes the other.
+    other = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+    met = one.join(two, "entry").where(other & possible)
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
+    across = stage(met.distinct().join(pairs, ["a", "b"], "left_anti"), "across")
     if across.isEmpty():
         return label
-    more = verified(across, _items(rows, across, shingle), percent).join(across, ["a", "b"])
+    more = verified(across.select("a", "b"), _items(rows, across, shingle), percent).join(across, ["a", "b"])
     moved = components(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     known = label.unionAll(moved.select("id", F.col("id").alias("component"))).groupBy("id").agg(F.min("component").alias("old"))
     moved = moved.select(F.col("id").alias("old"), F.col("component").alias("new"))
@@ -215,19 +222,18 @@ def _joined_across(rest, rows, side, possible, pairs, label, shingle: int, perce
 def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, percent: int = 85) -> DataFrame:
     """Rows (key, n_shingles, component_id), one per row of ``docs``."""
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
-    known = stage(described(rows, shingle), "sets")
+    known = stage(described(rows, shingle, percent), "sets")
     equal = known.where("n > 0 AND id IS NOT NULL").groupBy("digest", "n").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
     # Only sets that occur again have another representative than themselves.
     again = stage(equal.where("copies > 1").select("digest", "n", "rep"), "equal")
-    copies = known.where("n > 0").join(again, ["digest", "n"]).where("id <> rep").select("id", "rep").distinct()
+    copies = stage(known.where("n > 0").join(again, ["digest", "n"]).where("id <> rep").select("id", "rep").distinct(), "copies")
 
-    entries = indexed(rows, shingle, percent)
-    shared = entries.groupBy("entry").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("entry")
-    found = entries.join(shared, "entry").join(copies, "id", "left")
-    members = found.select("entry", F.coalesce("rep", "id").alias("id")).distinct()
-    members = stage(members, "members")
-    first = members.groupBy("entry").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("entry", "a")
-    pairs = stage(members.join(first, "entry").where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
+    listed = known.where("n > 0 AND id IS NOT NULL").select("id", "entries").join(copies.select("id"), "id", "left_anti")
+    entries = listed.select(F.explode("entries").alias("entry"), "id")
+    # Counted before the shuffle, so a crowded group sends one row per task; the join back may split it.
+    shared = entries.groupBy("entry").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("entry", "a")
+    members = stage(entries.join(shared, "entry"), "members")
+    pairs = stage(members.where("id <> a").select("a", F.col("id").alias("b")).distinct(), "pairs")
 
     # A first pass drops pairs that the exact bounds exclude, before any set is fetched.
     image = [f"b{k}" for k in range(IMAGE_WORDS)]
@@ -248,7 +254,7 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int
     links = stage(verified(near, _items(rows, near, shingle), percent), "links")
     # Groups left with several components after the first links: pairs across components, under the bound.
     label = stage(components(links.unionAll(copies.select(F.col("id").alias("a"), F.col("rep").alias("b")))), "label")
-    labelled = members.join(first.select("entry"), "entry", "left_semi").join(label, "id", "left")
+    labelled = members.select("entry", "id").join(label, "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
     open_ = labelled.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("c"))
     # Of a group of two, both are tested already.
