@@ -1,14 +1,15 @@
 """Removal of repeated byte strings with suffix arrays over the places that can repeat.
 
 A byte goes if a string of LENGTH bytes that covers it also starts earlier. Each window of LENGTH bytes has an
-anchor, its smallest GRAM-byte hash; equal windows have equal anchors at equal places. So only anchors that occur
-twice matter. Their contexts (all windows of an anchor lie in one run of bytes) are gathered by anchor, and
-each task sorts the suffixes of a block of contexts in two stages: suffixes smaller than their successor are
-sorted directly, all others are induced by one scan over the buckets of first bytes; neighbours in this order
-that share LENGTH bytes form a class, of which the earliest member stays.
+anchor, its smallest GRAM-byte hash; equal windows have equal anchors at equal places, and all windows of an
+anchor lie in one run of bytes, its context. Contexts are told apart by 64 bits of hash beside the 64 of their anchor. Equal ones are
+settled without their bytes: within a block of texts at once, else where the rows of an anchor pass by in order; the earliest
+stays. Bytes are moved only for contexts whose anchor has others. Each is parted in two, its windows that hold HALF bytes from the
+anchor on and the rest, which hold as many up to its end, and dealt by these bytes. A task sorts the suffixes of a block of
+parts in two stages: suffixes smaller than their successor are sorted directly, all others are induced by one scan over the
+buckets of first bytes; neighbours in this order that share LENGTH bytes form a class, of which the earliest member stays.
 
-Whole-text copies are settled before by digest. Equal contexts stand for one. An anchor with more than
-GROUP contexts is not gathered: its windows are dealt by their own digest and compared there.
+More than GROUP parts with the same HALF bytes are not gathered: their windows are dealt by their own digest and compared there.
 
 Defined results: null and empty texts have no bytes; ids are taken as unique (a repeated row is judged like the
 row it repeats); a null id sorts first.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,9 +33,12 @@ from areascore.llm.words import mixed
 from areascore.sources.storage import stage
 
 LENGTH, GRAM = 100, 32
+#: Bytes that the windows of a part share: the anchor and half of what else a window holds.
+HALF = GRAM + (LENGTH - GRAM) // 2
 GROUP = 20_000
 BLOCK_BYTES = 1 << 20
 ODD = 0x9E3779B97F4A7C15
+INVERSE = pow(ODD, -1, 1 << 64)
 NO_ID = -(1 << 63)
 
 
@@ -132,12 +137,12 @@ def _bytes(batch: pa.RecordBatch) -> tuple[list[bytes], list]:
     return plain, batch.column("id").to_pylist()
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, place, first window, last window) of the anchors of all texts in a row."""
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, place, first window, last window, hash of the context) of the anchors of all texts in a row."""
     n = len(data)
     empty = np.zeros(0, np.int64)
     if n < LENGTH:
-        return empty.astype(np.uint64), empty, empty, empty
+        return empty.astype(np.uint64), empty, empty, empty, empty.astype(np.uint64)
     gram, span, factor = mixed(data.astype(np.uint64) + np.uint64(1)), 1, ODD
     while span < GRAM:
         gram = gram[:-span] * np.uint64(factor) + gram[span:]
@@ -149,53 +154,118 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     start = start[start + LENGTH <= stop]
     chosen, text = chosen[start], stop[start]
     if not len(start):
-        return empty.astype(np.uint64), empty, empty, empty
+        return empty.astype(np.uint64), empty, empty, empty, empty.astype(np.uint64)
     new = np.flatnonzero(np.r_[True, (chosen[1:] != chosen[:-1]) | (text[1:] != text[:-1])])
-    return gram[chosen[new]], chosen[new], start[new], start[np.r_[new[1:], len(start)] - 1]
+    low, high = start[new], start[np.r_[new[1:], len(start)] - 1]
+    # Sums of hashed grams times powers of an odd number; the inverse powers bring a context to the front.
+    powers, back = (np.cumprod(np.full(len(gram), f, np.uint64)) for f in (ODD, INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(gram * powers)])
+    return gram[chosen[new]], chosen[new], low, high, mixed((sums[high + LENGTH - GRAM + 1] - sums[low]) * back[low])
 
 
-def _described(rows: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            plain, ids = _bytes(batch)
-            digests = [hashlib.sha256(t).hexdigest() for t in plain]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(t) for t in plain], pa.int64()), pa.array(digests)], names=["id", "n_bytes", "digest"]
-            )
+PLACE = "anchor long, id long, low int, windows int, at int"
+
 
-    return rows.mapInArrow(run, "id long, n_bytes long, digest string")
+def _same_place(ids: np.ndarray, lows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Whether a row is its first row's place again, as a repeated document has it."""
+    return (ids == ids[first]) & (lows == lows[first])
 
 
 def _anchored(rows: DataFrame) -> DataFrame:
+    """Places of anchors; a context that came before in the same block of texts is marked ``done`` and dealt anywhere."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, limit=BLOCK_BYTES):
             plain, ids = _bytes(batch)
             ends = np.cumsum([len(t) for t in plain])
-            hashes, place, low, high = anchors(np.frombuffer(b"".join(plain), np.uint8), ends)
+            hashes, place, low, high, context = anchors(np.frombuffer(b"".join(plain), np.uint8), ends)
             text = np.searchsorted(ends, place, "right")
             begin = (ends - [len(t) for t in plain])[text]
-            own = np.array(ids, np.int64)[text]
-            columns = [hashes.view(np.int64), own, (low - begin).astype(np.int32), (high - begin).astype(np.int32)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "id", "low", "high"])
+            own, start, windows, at = np.array(ids, np.int64)[text], low - begin, high - low + 1, place - low
+            order = np.lexsort((start, own, context, at, windows, hashes))
+            hashes, own, start, windows, at, context = (x[order] for x in (hashes, own, start, windows, at, context))
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([x[1:] != x[:-1] for x in (hashes, windows, at, context)], axis=0)
+            first = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            keep = new | ~_same_place(own, start, first)
+            spread = mixed(own.astype(np.uint64) * np.uint64(ODD) + start.astype(np.uint64))
+            columns = [
+                np.where(new, hashes, spread).view(np.int64), own, start.astype(np.int32), windows.astype(np.int32), at.astype(np.int32),
+                context.view(np.int64), ~new,
+            ]
+            names = ["anchor", "id", "low", "windows", "at", "context", "done"]
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=names)
+
+    return rows.mapInArrow(run, PLACE + ", context long, done boolean")
+
+
+def _earliest(found: DataFrame) -> DataFrame:
+    """From places in the order of anchor, context, id and low: those whose windows all go, without an anchor, and the
+    first of each context of an anchor with several. One row is held back between batches, whatever an anchor has.
+    """
+    names = ["anchor", "id", "low", "windows", "at"]
 
-    return rows.mapInArrow(run, "anchor long, id long, low int, high int")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The first row of the last context, and whether it has been given out.
+        held: dict[str, np.ndarray] | None = None
+        given = False
 
+        def rows(part: dict[str, np.ndarray], pick: np.ndarray, gone: bool) -> pa.RecordBatch:
+            columns = [pa.array(part[n][pick]) for n in names]
+            if gone:
+                columns[0] = pa.nulls(len(columns[1]), pa.int64())
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
-def _contexts(places: DataFrame) -> DataFrame:
-    """(anchor, id, low, windows, context) from rows (id, text, places of the anchors)."""
+        for batch in batches:
+            part = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in [*names, "context", "done"]}
+            done = part["done"]
+            if done.any():
+                yield rows(part, np.flatnonzero(done), True)
+                part = {n: x[~done] for n, x in part.items()}
+            if not len(part["anchor"]):
+                continue
+            if held is not None:
+                part = {n: np.concatenate([held[n], part[n]]) for n in part}
+            n = len(part["anchor"])
+            fresh, new = np.ones(n, bool), np.ones(n, bool)
+            fresh[1:] = part["anchor"][1:] != part["anchor"][:-1]
+            new[1:] = np.any([part[c][1:] != part[c][:-1] for c in ("anchor", "windows", "at", "context")], axis=0)
+            first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            gone = ~new & ~_same_place(part["id"], part["low"], first)
+            yield rows(part, np.flatnonzero(gone), True)
+            firsts = np.flatnonzero(new)
+            joined = ~fresh[firsts]  # an earlier context of the anchor is known
+            joined[0] = given
+            several = joined.copy()
+            several[:-1] |= joined[1:]
+            several[0] &= not given
+            yield rows(part, firsts[several], False)
+            held, given = {c: x[firsts[-1:]] for c, x in part.items()}, bool(joined[-1])
+
+    return found.mapInArrow(run, PLACE)
+
+
+def _parts(places: DataFrame) -> DataFrame:
+    """(key, id, low, windows, context) from rows (id, text, places of the anchors), each context parted by HALF bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [("key", pa.int64()), ("id", pa.int64()), ("low", pa.int32()), ("windows", pa.int32()), ("context", pa.binary())]
         for batch in chunks(batches, limit=1 << 18):
             plain, ids = _bytes(batch)
-            out = [
-                {"anchor": p["anchor"], "id": i, "low": p["low"], "windows": p["high"] - p["low"] + 1, "context": t[p["low"] : p["high"] + LENGTH]}
-                for t, i, many in zip(plain, ids, batch.column("places").to_pylist(), strict=True)
-                for p in many
-            ]
-            kinds = [("anchor", pa.int64()), ("id", pa.int64()), ("low", pa.int32()), ("windows", pa.int32()), ("context", pa.binary())]
-            yield pa.RecordBatch.from_pylist(out, pa.schema(kinds))
-
-    return places.mapInArrow(run, "anchor long, id long, low int, windows int, context binary")
+            columns: list[list] = [[] for _ in kinds]
+            for t, i, many in zip(plain, ids, batch.column("places").to_pylist(), strict=True):
+                for p in many:
+                    at, low, stop = p["low"] + p["at"], p["low"], p["low"] + p["windows"]
+                    middle = min(max(at + HALF - LENGTH, low), stop)
+                    for side, (a, b, core) in enumerate(((low, middle, at + GRAM - HALF), (middle, stop, at))):
+                        if a < b:
+                            key = xxhash.xxh3_64_intdigest(t[core : core + HALF], side)
+                            row = (key - (key >> 63 << 64), i, a, b - a, t[a : b - 1 + LENGTH])
+                            for column, value in zip(columns, row, strict=True):
+                                column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(columns, kinds, strict=True)], names=[n for n, _ in kinds])
+
+    return places.mapInArrow(run, "key long, id long, low int, windows int, context binary")
 
 
 def block_repeats(contexts: list[bytes], windows: np.ndarray, ids: np.ndarray, lows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,12 +284,16 @@ def block_repeats(contexts: list[bytes], windows: np.ndarray, ids: np.ndarray, l
     place, group = order[real], group[real]
     rank = np.lexsort((lows[owner[place]] + offset[place], ids[owner[place]], group))
     place, group = place[rank], group[rank]
-    again = np.r_[False, group[1:] == group[:-1]] if len(group) else np.zeros(0, bool)
+    if not len(group):
+        return place, place
+    new = np.r_[True, group[1:] != group[:-1]]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    again = ~new & ~_same_place(ids[owner[place]], lows[owner[place]] + offset[place], first)
     return owner[place[again]], offset[place[again]]
 
 
 def _settled(gathered: DataFrame) -> DataFrame:
-    """(id, start): windows that go, from contexts in the order of their anchors."""
+    """(id, start): windows that go, from parts in the order of their keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -234,7 +308,7 @@ def _settled(gathered: DataFrame) -> DataFrame:
 
         last = None
         for batch in batches:
-            keys = batch.column("anchor").to_numpy()
+            keys = batch.column("key").to_numpy()
             cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
@@ -255,60 +329,32 @@ def _settled(gathered: DataFrame) -> DataFrame:
 def removed(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_bytes, spans, n_removed, kept_sha256); spans are byte ranges (start, end), ascending."""
     rows = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)).alias("id"), F.col(f"`{text}`").alias("text"))
-    known = stage(_described(rows), "texts")
-    equal = known.where(F.col("n_bytes") >= LENGTH).groupBy("digest", "n_bytes")
-    first = stage(equal.agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c"), "copies")
-    copies = known.join(first, ["digest", "n_bytes"]).where("id <> first").select("id").distinct()
-
-    found = _anchored(rows)
-    twice = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
-    places = stage(found.join(twice, "anchor").join(copies, "id", "left_anti"), "anchors")
-    counts = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    wanted = places.join(counts.select("anchor"), "anchor", "left_semi").distinct()
+    order = ["anchor", "windows", "at", "context", "id", "low"]
+    places = stage(_earliest(_anchored(rows).repartition("anchor").sortWithinPartitions(*order)), "places")
     # One row per document, at most as long as the document.
-    by_text = wanted.groupBy("id").agg(F.collect_list(F.struct("anchor", "low", "high")).alias("places"))
-    texts = stage(rows.join(by_text, "id"), "repeating").dropDuplicates(["id"])
-    contexts = stage(_contexts(texts), "contexts")
-
-    # Equal contexts stand for one: the earliest; the others lose all their windows.
-    same = ["anchor", "windows", "context"]
-    unique = stage(contexts.groupBy(*same).agg(F.min(F.struct("id", "low")).alias("at")).select(*same, "at.id", "at.low"), "unique")
-    many = unique.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    some = unique.join(many.where(F.col("c") <= GROUP), "anchor")
-    settled = _settled(some.repartition("anchor").sortWithinPartitions("anchor"))
-    # Crowded anchors: windows are dealt by their own digest, counted before the shuffle.
-    crowd = unique.join(many.where(F.col("c") > GROUP), "anchor").select(
+    several = places.where("anchor IS NOT NULL").groupBy("id").agg(F.collect_list(F.struct("low", "windows", "at")).alias("places"))
+    parts = stage(_parts(rows.join(several, "id")), "parts")
+    count = parts.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    some = parts.join(count.where(F.col("c") <= GROUP).select("key"), "key", "left_semi")
+    settled = _settled(some.repartition("key").sortWithinPartitions("key"))
+    # Crowded keys: windows are dealt by their own digest, counted before the shuffle.
+    crowd = parts.join(count.where(F.col("c") > GROUP).select("key"), "key", "left_semi").select(
         "id",
         F.posexplode(F.transform(F.sequence(F.lit(0), F.col("windows") - 1), lambda k: F.sha2(F.substring(F.col("context"), k + 1, F.lit(LENGTH)), 256))).alias("k", "window"),
         "low",
     ).select("id", (F.col("low") + F.col("k")).alias("start"), "window")
     earliest = crowd.groupBy("window").agg(F.min(F.struct("id", "start")).alias("at"))
     crowded = crowd.join(earliest, "window").where(F.struct("id", "start") != F.col("at")).select("id", "start")
-    single = stage(settled.unionByName(crowded), "windows").withColumn("end", F.col("start") + LENGTH)
-    whole = (
-        contexts.join(unique.select(*same, F.struct("id", "low").alias("at")), same)
-        .where(F.struct("id", "low") != F.col("at"))
-        .select("id", F.col("low").alias("start"), (F.col("low") + F.col("windows") - 1 + LENGTH).alias("end"))
-    )
+    single = settled.unionByName(crowded).withColumn("end", F.col("start") + LENGTH)
+    whole = places.where("anchor IS NULL").select("id", F.col("low").alias("start"), (F.col("low") + F.col("windows") - 1 + LENGTH).alias("end"))
     # The windows of an equal context that its earliest copy loses to another context go by the copy itself.
     ranges = single.unionByName(whole).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    cleaned = _cleaned(texts.select("id", "text").join(ranges, "id"))
-    out = known.join(cleaned, "id", "left").join(copies.withColumn("copy", F.lit(True)), "id", "left")
-    copy = F.col("copy").isNotNull()
-    all_ = F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.when(copy, all_).otherwise(F.coalesce("spans", none))
-    return out.select(
-        F.when(F.col("id") != NO_ID, F.col("id")).alias(key),
-        "n_bytes",
-        spans.alias("spans"),
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
-        F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "digest")).alias("kept_sha256"),
-    )
+    out = _cleaned(rows.join(ranges, "id", "left"))
+    return out.withColumnRenamed("id", key).withColumn(key, F.when(F.col(key) != NO_ID, F.col(key)))
 
 
 def _cleaned(rows: DataFrame) -> DataFrame:
-    """(id, spans, n_removed, kept_sha256) from (id, text, ranges)."""
+    """(id, n_bytes, spans, n_removed, kept_sha256) from (id, text, ranges)."""
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +363,7 @@ def _cleaned(rows: DataFrame) -> DataFrame:
             spans, gone, kept = [], [], []
             for text, ranges in zip(plain, batch.column("ranges").to_pylist(), strict=True):
                 merged: list[list[int]] = []
-                for a, b in sorted((r["start"], r["end"]) for r in ranges):
+                for a, b in sorted((r["start"], r["end"]) for r in ranges or ()):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
@@ -331,8 +377,8 @@ def _cleaned(rows: DataFrame) -> DataFrame:
                 gone.append(sum(b - a for a, b in merged))
                 kept.append(hashlib.sha256(b"".join(left)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(spans, span), pa.array(gone, pa.int64()), pa.array(kept)],
-                names=["id", "spans", "n_removed", "kept_sha256"],
+                [pa.array(ids, pa.int64()), pa.array([len(t) for t in plain], pa.int64()), pa.array(spans, span), pa.array(gone, pa.int64()), pa.array(kept)],
+                names=["id", "n_bytes", "spans", "n_removed", "kept_sha256"],
             )
 
-    return rows.mapInArrow(run, "id long, spans array<struct<start:int,end:int>>, n_removed long, kept_sha256 string")
+    return rows.mapInArrow(run, "id long, n_bytes long, spans array<struct<start:int,end:int>>, n_removed long, kept_sha256 string")
