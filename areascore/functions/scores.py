@@ -43,7 +43,7 @@ def _cap_at_hundred(value: Column) -> Column:
     return F.least(F.lit(100).cast(RATIO), value.cast(RATIO))
 
 
-def penalty(value: Column, default: int, points: int, per: int = 1) -> Column:
+def penalty(value: Column, default: int, points: int | Decimal, per: int = 1) -> Column:
     """``100 - value * points / per``, never below zero."""
     return _floor_at_zero(100 - (F.coalesce(value, F.lit(default)) * points / per).cast(RATIO))
 
@@ -63,7 +63,7 @@ def blend(*parts: tuple[Column, str]) -> Column:
 
 
 def energy_component(sieve_rate: Column) -> Column:
-    return penalty(sieve_rate, default=20, points=5, per=2)
+    return penalty(sieve_rate, default=20, points=Decimal("2.5"))
 
 
 def building_age_component(old_share: Column) -> Column:
