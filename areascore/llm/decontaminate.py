@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval, confirmed on words.
 
 Words are hashed into FEATURES columns and weighted by inverse document frequency over all documents. A
-randomised SVD of TF-IDF passages (all benchmark texts and a bounded sample of the documents, summed up by
-the cluster in two passes) gives RANK latent directions. Every document is then read once, whole: running
+randomised SVD of the TF-IDF passages of all benchmark texts and all documents (summed up by the cluster in one
+pass) gives RANK latent directions. Every document is then read once, whole: running
 sums of projected words give the vector of any window, windows as long as the benchmark texts of a length
 class, a third of it apart, are compared with these texts, and those whose cosine reaches a share of what
 the text has with itself are candidates. A candidate is confirmed by the longest common subsequence of words
@@ -32,9 +32,9 @@ from areascore.llm.words import ODD, mixed
 FEATURES = 1 << 15
 INVERSE = np.uint64(pow(int(ODD), -1, 1 << 64))
 RANK = 32
-#: Documents whose passages fit the latent space, in expectation; every document is searched.
-FITTED_DOCUMENTS = 1000
-#: Weight of a benchmark passage against one of a document.
+#: All documents together weigh as much as so many in the fit, which keeps the benchmark's share on large tables.
+DOCUMENTS_WEIGHT = 1000
+#: Weight of a benchmark passage against one of so many documents.
 ASKED_WEIGHT = 10.0
 PASSAGE = 64
 BLOCK = 5000
@@ -128,45 +128,48 @@ def _passages(cut: Cut, idf: np.ndarray):
     return row, column, weight / np.maximum(norm[row], 1e-12), many
 
 
-def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray, gram: bool) -> np.ndarray:
-    """X'X right over all passages X of ``rows`` (text, weight); with ``gram`` right'X'X right."""
-    shared = rows.sparkSession.sparkContext.broadcast((idf, right.astype(np.float64)))
+def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """X'X right over all passages X of ``rows`` (text, weight)."""
+    shared = rows.sparkSession.sparkContext.broadcast((idf, np.ascontiguousarray(right.T, np.float64)))
+    rank = right.shape[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, matrix = shared.value
-        total = np.zeros((matrix.shape[1] if gram else FEATURES, matrix.shape[1]))
+        weights, sides = shared.value
+        total = np.zeros((rank, FEATURES))
         for batch in chunks(batches, limit=SEARCH_BYTES):
             row, column, value, passages = _passages(Cut(texts(batch)), weights)
             n = int(passages.sum())
             if not n:
                 continue
-            times = np.repeat(batch.column("weight").to_numpy(), passages)
-            value *= times[row]
-            image = np.zeros((n, matrix.shape[1]))
-            np.add.at(image, row, value[:, None] * matrix[column])
-            if gram:
-                total += image.T @ image
-            else:
-                np.add.at(total, column, value[:, None] * image[row])
-        used = np.flatnonzero(total.any(1))
+            value *= np.repeat(batch.column("weight").to_numpy(), passages)[row]
+            column = column.astype(np.intp)
+            for k, side in enumerate(sides):
+                image = np.bincount(row, value * side[column], minlength=n)
+                total[k] += np.bincount(column, value * image[row], minlength=FEATURES)
+        used = np.flatnonzero(total.any(0))
         for at in range(0, len(used), 4096):
             part = used[at : at + 4096]
-            columns = [pa.array(part), *(pa.array(np.ascontiguousarray(total[part, k])) for k in range(matrix.shape[1]))]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", *(f"v{k}" for k in range(matrix.shape[1]))])
+            columns = [pa.array(part), *(pa.array(one[part]) for one in total)]
+            yield pa.RecordBatch.from_arrays(columns, names=["row", *(f"v{k}" for k in range(rank))])
 
-    names = [f"v{k}" for k in range(right.shape[1])]
+    names = [f"v{k}" for k in range(rank)]
     partial = rows.mapInArrow(run, "row long, " + ", ".join(f"{n} double" for n in names))
     summed = partial.groupBy("row").agg(*(F.sum(n).alias(n) for n in names)).toPandas()  # at most FEATURES rows
-    out = np.zeros((right.shape[1] if gram else FEATURES, right.shape[1]))
+    out = np.zeros((FEATURES, rank))
     out[summed["row"].to_numpy(np.int64)] = summed[names].to_numpy()
     return out
 
 
 def latent_directions(rows: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """Leading right singular vectors of the passages, by randomised SVD with one power step."""
+    """Leading right singular vectors of the passages, by randomised SVD with one power step.
+
+    One pass: the sums give the space of the vectors, and (by Nystroem's formula) their order within it.
+    """
     start = np.random.default_rng(11).standard_normal((FEATURES, rank))
-    basis, _ = np.linalg.qr(_summed(rows, idf, start, gram=False))
-    values, turn = np.linalg.eigh(_summed(rows, idf, basis, gram=True))
+    image = _summed(rows, idf, start)
+    basis, _ = np.linalg.qr(image)
+    inner = basis.T @ image
+    values, turn = np.linalg.eigh(inner @ np.linalg.pinv(start.T @ image, hermitian=True) @ inner.T)
     return basis @ turn[:, np.argsort(-values)]
 
 
@@ -321,12 +324,10 @@ def mark(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str =
     asked = benchmark.select(F.col(f"`{item}`").alias("item"), F.col(f"`{item_text}`").alias("text"))
     seen, n = document_frequency(rows)
     idf = np.log((n + 1.0) / (seen + 1.0)) + 0.05
-    share = min(1.0, FITTED_DOCUMENTS / max(n, 1))
-    pick = F.pmod(F.xxhash64("key"), F.lit(1_000_003)) < int(share * 1_000_003) + 1
+    # Weights are squared in the sums.
+    share = min(1.0, DOCUMENTS_WEIGHT / max(n, 1)) ** 0.5
     directions = latent_directions(
-        asked.select("text", F.lit(ASKED_WEIGHT).alias("weight")).unionAll(
-            rows.where(pick).select("text", F.lit(1.0).alias("weight"))
-        ),
+        asked.select("text", F.lit(ASKED_WEIGHT).alias("weight")).unionAll(rows.select("text", F.lit(share).alias("weight"))),
         idf,
     )
     blocks = max(1, -(-asked.count() // BLOCK))
