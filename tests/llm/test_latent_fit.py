@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import numpy as np
 
 from areascore.llm import decontaminate
@@ -42,3 +43,19 @@ def test_directions_are_singular_vectors(spark):
     assert np.allclose(got.T @ got, np.eye(16), atol=1e-6)
     # The eight strongest vectors span what those of the exact decomposition span.
     assert np.linalg.svd(want @ got, compute_uv=False).min() > 0.95
+
+
+def test_pipeline_stage_fits_on_every_document(spark, monkeypatch, tmp_path):
+    rows = [(i, f"w{i} v{i} some words of text {i % 7}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    asked = spark.createDataFrame([(1, "a text that is asked for and nowhere else")], "item_id long, text string")
+    asked.write.parquet(f"{tmp_path}/benchmark.parquet")
+    fitted = []
+    directions = decontaminate.latent_directions
+    monkeypatch.setattr(
+        decontaminate, "latent_directions", lambda rows, idf: fitted.append(rows.count()) or directions(rows, idf)
+    )
+    for name in ("FITTED_DOCUMENTS", "DOCUMENTS_WEIGHT"):
+        monkeypatch.setattr(decontaminate, name, 10, raising=False)
+    assert corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path)).count() == len(rows)
+    assert fitted == [len(rows) + 1]
