@@ -22,14 +22,14 @@ are taken as unique (a repeated row repeats its result); a null id has a null co
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from areascore.llm.batches import chunks, texts
@@ -194,22 +194,45 @@ def _items(rows: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
     return stage(packed(rows.join(needed, "id", "left_semi"), shingle).dropDuplicates(["id"]), "items")
 
 
-def _joined_across(rest, rows, side, possible, pairs, label, shingle: int, percent: int) -> DataFrame:
-    """``label`` after links between different components of a group; only the components are joined anew.
+def _met(rest: DataFrame, side: Callable[[DataFrame, str], DataFrame], possible: Column) -> DataFrame:
+    """Possible pairs (a, b) of different components (ca, cb) that meet in a group of ``rest``; some repeat.
 
     The largest component of a group meets only the members outside of it, so a large group of near copies
-    with a few strangers makes as many pairs as members for each stranger.
+    with a few strangers makes as many pairs as members for each stranger. Sets that share one segment mostly share
+    many: where their groups would make more pairs of two components than these have pairs of members, the
+    members are paired once, by component.
     """
-    sizes = rest.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = sizes.groupBy("entry").agg(F.max(F.struct("c", "component")).alias("m")).select("entry", F.col("m.component").alias("main"))
-    outside = rest.join(main, "entry").where("component <> main")
-    one = side(outside.select("entry", "main", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
-    two = side(rest.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-    # Of two members outside the largest component, the smaller id takes the other.
-    other = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    met = one.join(two, "entry").where(other & possible)
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ca", "cb").alias("ca"), F.greatest("ca", "cb").alias("cb"))
-    across = stage(met.distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    sizes = stage(rest.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("c")), "sizes")
+    main = sizes.groupBy("entry").agg(F.max(F.struct("c", "component")).alias("m"))
+    main = stage(main.select("entry", F.col("m.component").alias("main"), F.col("m.c").alias("most")), "main")
+    of = stage(rest.select("component", "id").distinct(), "of")
+    many = of.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    meet = sizes.join(main, "entry").where("component <> main").groupBy("component", "main").agg(F.sum(F.col("c") * F.col("most")).alias("grouped"))
+    meet = meet.join(many, "component").join(many.select(F.col("component").alias("main"), F.col("n").alias("n_main")), "main")
+    meet = stage(meet.select("component", "main", (F.col("grouped") > F.col("n") * F.col("n_main")).alias("whole")), "meet")
+
+    outside = stage(rest.join(main.select("entry", "main"), "entry").where("component <> main"), "outside")
+    whole = meet.where("whole").select(F.col("component").alias("ca"), F.col("main").alias("cb"))
+    one = side(whole.join(of.select(F.col("component").alias("ca"), F.col("id").alias("a")), "ca"), "a")
+    two = side(of.select(F.col("component").alias("cb"), F.col("id").alias("b")), "b")
+    met = [one.join(two, "cb").where(possible)]
+    by_group = outside.join(meet.where("NOT whole").select("component", "main"), ["component", "main"], "left_semi")
+    one = side(by_group.select("entry", F.col("id").alias("a"), F.col("component").alias("ca"), F.col("main").alias("cb")), "a")
+    mains = by_group.select("entry", F.col("main").alias("component")).distinct()
+    facing = rest.join(mains, ["entry", "component"], "left_semi")
+    two = side(facing.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
+    met.append(one.join(two, ["entry", "cb"]).where(possible))
+    # Members outside the largest component meet one another in their groups.
+    one = side(outside.select("entry", F.col("id").alias("a"), F.col("component").alias("ca")), "a")
+    two = side(outside.select("entry", F.col("id").alias("b"), F.col("component").alias("cb")), "b")
+    met.append(one.join(two, "entry").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & possible))
+    ordered = [f(x, y).alias(n) for x, y in (("a", "b"), ("ca", "cb")) for f, n in ((F.least, x), (F.greatest, y))]
+    return reduce(DataFrame.unionAll, [m.select(*ordered) for m in met])
+
+
+def _joined_across(rest, rows, side, possible, pairs, label, shingle: int, percent: int) -> DataFrame:
+    """``label`` after links between different components of a group; only the components are joined anew."""
+    across = stage(_met(rest, side, possible).distinct().join(pairs, ["a", "b"], "left_anti"), "across")
     if across.isEmpty():
         return label
     more = verified(across.select("a", "b"), _items(rows, across, shingle), percent).join(across, ["a", "b"])
