@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from areascore.llm.batches import chunks, texts
 
-#: Distinct words whose ids and decoded text a task keeps; beyond it the older half goes.
+#: Distinct words, and distinct pieces of them, whose ids and decoded text a task keeps; beyond it the older half goes.
 KEPT_WORDS = 300_000
 LONG_WORD = 200
 END = "</w>"
@@ -139,8 +139,8 @@ class WordEncoder:
                 return token, start
         raise ValueError(f"no token ends {word[:depth]!r}")
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of each distinct word; words are letters that stand for bytes.
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
+        """Ids of each distinct word; words are letters that stand for bytes.
 
         The state of a prefix is found when a word first asks for it, and kept for the words that share it.
         """
@@ -166,7 +166,7 @@ class WordEncoder:
                 token, start = state
                 ids.append(token)
             ids.reverse()
-            out[word] = np.array(ids, "<u4").tobytes() if len(ids) > 8 else b"".join([i.to_bytes(4, "little") for i in ids])
+            out[word] = ids
         return out
 
 
@@ -185,6 +185,8 @@ class TextEncoder:
         self.definition, self.library = definition, None
         self.known: dict[str, bytes] = {}
         self.shown: dict[str, str] = {}
+        self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.packed = {i: i.to_bytes(4, "little") for i in self.words.names}
 
     def _words(self, text: str) -> list[str]:
         """Runs without white space; the words of a text of another script carry a mark and stand for bytes."""
@@ -201,6 +203,8 @@ class TextEncoder:
         """The words of the model in a run, as letters that stand for bytes."""
         if word[0] == MARK:
             return [word[1:]]
+        if word.isascii() and word.isprintable():  # such letters stand for themselves
+            return [word] if word.isalpha() else PIECE.findall(word)
         letters = self.words.letters
         return ["".join([letters[b] for b in piece.encode()]) for piece in PIECE.findall(word)]
 
@@ -209,34 +213,39 @@ class TextEncoder:
 
     def coded(self, many: list[str]) -> list[tuple[bytes, str]]:
         """Little-endian 32-bit ids of each text, and these decoded. New words of all texts are encoded in one walk."""
-        known, shown = self.known, self.shown
+        known, shown, coded = self.known, self.shown, self.pieces
         if len(known) > KEPT_WORDS:  # the older half goes
             for word in list(islice(known, len(known) // 2)):
                 del known[word], shown[word]
-        split, new = [], set()
+        if len(coded) > KEPT_WORDS:
+            for piece in list(islice(coded, len(coded) // 2)):
+                del coded[piece]
+        split, seen = [], set()
         for text in many:
             parts = []
             for run in self.cut.split(text) if self.cut and "<|" in text else [text]:
                 if run in self.special:
-                    parts.append(([], [np.array([self.special[run]], "<u4").tobytes()], run))
+                    parts.append(([], run))
                 elif run:
                     words = self._words(run)
-                    ids = list(map(known.get, words))
-                    if None in ids:
-                        new.update([w for w, i in zip(words, ids) if i is None])
-                        ids = None
-                    parts.append((words, ids, None))
+                    seen.update(words)
+                    parts.append((words, None))
             split.append(parts)
-        pieces = {w: self._pieces(w) for w in new}
-        found = self.words.encode_words({p for each in pieces.values() for p in each})
+        pieces = {w: self._pieces(w) for w in seen.difference(known)}
+        names, packed = self.names, self.packed
+        for piece, ids in self.words.encode_words({p for each in pieces.values() for p in each if p not in coded}).items():
+            coded[piece] = b"".join([packed[i] for i in ids]), " ".join([names[i] for i in ids])
         for word, each in pieces.items():
-            known[word] = ids = b"".join([found[p] for p in each])
-            shown[word] = self.decode(ids)
+            if len(each) == 1:
+                known[word], shown[word] = coded[each[0]]
+            else:
+                known[word] = b"".join([coded[p][0] for p in each])
+                shown[word] = " ".join([coded[p][1] for p in each])
         out = []
         for parts in split:
-            ids = [b"".join(map(known.__getitem__, words) if ids is None else ids) for words, ids, _ in parts]
+            ids = [b"".join(map(known.__getitem__, words)) if run is None else np.array([self.special[run]], "<u4").tobytes() for words, run in parts]
             # A word without ids is nowhere in the decoded text.
-            text = [" ".join(filter(None, map(shown.__getitem__, words))) if run is None else run for words, _, run in parts]
+            text = [" ".join(filter(None, map(shown.__getitem__, words))) if run is None else run for words, run in parts]
             out.append((b"".join(ids), " ".join(filter(None, text))))
         return out
 
