@@ -69,6 +69,19 @@ def words_of(text: str) -> list[bytes]:
     return plain(text).split()
 
 
+_POWERS = [np.ones(0, np.uint64)] * 2
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ODD and of its inverse, kept as far as usual pieces of text need them."""
+    if size > len(_POWERS[0]):
+        made = [np.cumprod(np.full(max(size, 2 * SEARCH_BYTES), f, np.uint64)) for f in (ODD, INVERSE)]
+        if size > 2 * SEARCH_BYTES:
+            return made[0], made[1]
+        _POWERS[:] = made
+    return _POWERS[0][:size], _POWERS[1][:size]
+
+
 class Cut:
     """The words of many texts in a row as places in their bytes, with a hash and a column for each."""
 
@@ -83,7 +96,7 @@ class Cut:
         self.sizes = np.diff(self.ends, prepend=0)
         self.begins = self.ends - self.sizes
         # Sums of bytes times powers of an odd number; the inverse powers bring a word to the front.
-        powers, back = (np.cumprod(np.full(len(raw), f, np.uint64)) for f in (ODD, INVERSE))
+        powers, back = _powers(len(raw))
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers)])
         self.hashes = mixed((sums[self.stops] - sums[self.starts]) * back[self.starts])
         self.columns = (self.hashes % np.uint64(FEATURES)).astype(np.int32)
@@ -102,8 +115,10 @@ def document_frequency(rows: DataFrame) -> tuple[np.ndarray, int]:
         seen, n = np.zeros(FEATURES + 1, np.int64), 0
         for batch in chunks(batches, limit=SEARCH_BYTES):
             cut = Cut(texts(batch))
-            _, first = np.unique(mixed(cut.hashes + cut.owners().astype(np.uint64) * ODD), return_index=True)
-            seen[:FEATURES] += np.bincount(cut.columns[first], minlength=FEATURES)
+            # The low bits, which are the column, stay; the others tell the texts apart.
+            words = np.sort(cut.hashes + cut.owners().astype(np.uint64) * ODD * np.uint64(FEATURES))
+            words = words[np.concatenate([words[:1] == words[:1], words[1:] != words[:-1]])]
+            seen[:FEATURES] += np.bincount((words % np.uint64(FEATURES)).astype(np.intp), minlength=FEATURES)
             n += batch.num_rows
         seen[FEATURES] = n
         used = np.flatnonzero(seen)
@@ -142,10 +157,11 @@ def _summed(rows: DataFrame, idf: np.ndarray, right: np.ndarray) -> np.ndarray:
             if not n:
                 continue
             value *= np.repeat(batch.column("weight").to_numpy(), passages)[row]
-            column = column.astype(np.intp)
+            column, size = column.astype(np.intp), np.bincount(row, minlength=n)
+            first = np.cumsum(size) - size  # cells lie by passage, and none is empty
             for k, side in enumerate(sides):
-                image = np.bincount(row, value * side[column], minlength=n)
-                total[k] += np.bincount(column, value * image[row], minlength=FEATURES)
+                image = np.add.reduceat(value * side.take(column, mode="clip"), first)
+                total[k] += np.bincount(column, value * np.repeat(image, size), minlength=FEATURES)
         used = np.flatnonzero(total.any(0))
         for at in range(0, len(used), 4096):
             part = used[at : at + 4096]
@@ -297,15 +313,20 @@ class Search:
                 masks[word] = masks.get(word, 0) | 1 << k
             self.masks[i] = masks
         best, done = None, []
-        for cosine, place, width in sorted(windows, reverse=True):
-            margin = size // 4 + 2
-            low, high = max(0, place - margin), min(int(cut.sizes[text]), place + max(width, size) + margin)
+        margin, begin, length = size // 4 + 2, int(cut.begins[text]), int(cut.sizes[text])
+        known = self.masks[i].keys()
+        # Words that do not occur at all cannot be in the subsequence.
+        least = PARAPHRASE * len(known) - (1 - PARAPHRASE) * (size - len(known))
+        bounds = [(max(0, place - margin), min(length, place + max(width, size) + margin)) for _, place, width in windows]
+        low, high = min(a for a, _ in bounds), max(b for _, b in bounds)
+        if len(known & set(cut.words(begin + low, begin + high))) < least:
+            return None
+        for (cosine, _, _), (low, high) in sorted(zip(windows, bounds, strict=True), reverse=True):
             if any(a <= low and high <= b for a, b in done):
                 continue
             done.append((low, high))
-            near = cut.words(cut.begins[text] + low, cut.begins[text] + high)
-            # Words that do not occur at all cannot be in the subsequence.
-            if len(self.masks[i].keys() & set(near)) < PARAPHRASE * len(self.masks[i]) - (1 - PARAPHRASE) * (size - len(self.masks[i])):
+            near = cut.words(begin + low, begin + high)
+            if len(known & set(near)) < least:
                 continue
             if size < 5:
                 common = size if contains(near, item.words) else 0
