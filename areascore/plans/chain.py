@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from areascore.plans.layers import Layers, raw_inputs
 from areascore.quality import audit, rules
+from areascore.session import compiled_methods
 from areascore.settings import GOLD_TABLES, SILVER_TABLES
 
 #: Key that a stored table is laid out by: areas, or catchments where it has no areas.
@@ -115,10 +116,24 @@ def run_chain(
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    layers = Layers(raw, stored=True, store=store)
+    with compiled_methods(spark):
+        return _build(spark, Layers(raw, stored=True, store=store), result, run_id, run_log, set(absent), suite, table_rules)
+
+
+def _build(
+    spark: SparkSession,
+    layers: Layers,
+    result: ChainResult,
+    run_id: str,
+    run_log: str | None,
+    absent: set[str],
+    suite: tuple[rules.Rule, ...],
+    table_rules: Mapping[str, tuple[rules.Rule, ...]],
+) -> ChainResult:
+    """All tables layer by layer, each layer tested before the next, and the suite on the master table."""
     for stage_name, names in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
         for name in names:
-            missing = sorted(raw_inputs(name) & set(absent))
+            missing = sorted(raw_inputs(name) & absent)
             if not missing:
                 result.tables[name] = layers.table(name)
                 continue
