@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Callable, Collection, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from decimal import Decimal
+from itertools import groupby
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.plans.layers import Layers, raw_inputs
+from areascore.plans.layers import Layers, level, raw_inputs
 from areascore.quality import audit, rules
 from areascore.session import compiled_methods
 from areascore.settings import GOLD_TABLES, SILVER_TABLES
@@ -20,6 +24,8 @@ from areascore.settings import GOLD_TABLES, SILVER_TABLES
 #: Key that a stored table is laid out by: areas, or catchments where it has no areas.
 LAYOUT_KEYS = ("iris_code", "bv_code")
 BROKEN, QUARANTINED = "_broken", "_quarantined"
+#: Tables that do not depend on one another whose jobs are submitted at once; Spark shares the cluster among them.
+AT_ONCE = 4
 
 
 @dataclass
@@ -58,7 +64,8 @@ def run_chain(
 ) -> ChainResult:
     """Build and write every table under ``root``; stop at the first layer whose tests fail.
 
-    Each table is written once, its rows counted on the way, and read back by what depends on it. Tables are laid
+    Each table is written once, its rows counted on the way, and read back by what depends on it; tables that do not
+    depend on one another are written at the same time. Tables are laid
     out in ``buckets`` by their key (by default as many as the cluster has cores), so that the stars of the gold
     layer join stored tables where they lie.
     ``as_tables`` also registers the tables as ``silver.<name>`` and ``gold.<name>``, else they are known to the
@@ -72,6 +79,13 @@ def run_chain(
     counts: dict[str, int] = {}
     n_buckets = buckets or spark.sparkContext.defaultParallelism
     result = ChainResult(tables={}, rows=counts)
+    logging = threading.Lock()
+
+    def logged(**record) -> None:
+        # Two appends to one folder may not overlap.
+        if run_log:
+            with logging:
+                audit.append_model_run(spark, run_log, **record)
 
     def write(df: DataFrame, name: str) -> DataFrame:
         started, clock = datetime.now(), time.monotonic()
@@ -89,18 +103,11 @@ def run_chain(
                 table_rules.get(name, ()) if quarantine else None,
             )
         except Exception as error:
-            if run_log:
-                audit.append_model_run(
-                    spark, run_log, **record, status="ERROR", error_message=str(error)
-                )
+            logged(**record, status="ERROR", error_message=str(error))
             raise
         counts[name] = watched.get["rows"]
-        if run_log:
-            seconds = Decimal(f"{time.monotonic() - clock:.3f}")
-            audit.append_model_run(
-                spark, run_log, **record, status="SUCCESS", rows_affected=counts[name],
-                execution_time_s=seconds, finished_at=datetime.now(),
-            )
+        seconds = Decimal(f"{time.monotonic() - clock:.3f}")
+        logged(**record, status="SUCCESS", rows_affected=counts[name], execution_time_s=seconds, finished_at=datetime.now())
         stored = spark.table(table)
         if quarantine:
             result.quarantined[name] = stored.where(QUARANTINED).select(*complete.columns, BROKEN)
@@ -117,15 +124,15 @@ def run_chain(
         return spark.read.schema(df.schema).parquet(path)
 
     with compiled_methods(spark):
-        return _build(spark, Layers(raw, stored=True, store=store), result, run_id, run_log, set(absent), suite, table_rules)
+        return _build(spark, Layers(raw, stored=True, store=store), result, {"run_id": run_id}, logged, set(absent), suite, table_rules)
 
 
 def _build(
     spark: SparkSession,
     layers: Layers,
     result: ChainResult,
-    run_id: str,
-    run_log: str | None,
+    run: dict,
+    logged: Callable[..., None],
     absent: set[str],
     suite: tuple[rules.Rule, ...],
     table_rules: Mapping[str, tuple[rules.Rule, ...]],
@@ -134,13 +141,18 @@ def _build(
     for stage_name, names in (("silver", SILVER_TABLES), ("gold", GOLD_TABLES)):
         for name in names:
             missing = sorted(raw_inputs(name) & absent)
-            if not missing:
-                result.tables[name] = layers.table(name)
-                continue
-            result.skipped[name] = tuple(missing)
-            if run_log:
-                record = {"run_id": run_id, "model_name": name, "layer": stage_name}
-                audit.append_model_run(spark, run_log, **record, status="SKIPPED", error_message=f"without {missing}")
+            if missing:
+                result.skipped[name] = tuple(missing)
+                logged(**run, model_name=name, layer=stage_name, status="SKIPPED", error_message=f"without {missing}")
+        # What a table is built from stands on a lower level, so that it is there before.
+        for _, level_names in groupby(sorted((n for n in names if n not in result.skipped), key=level), level):
+            together = list(level_names)
+            with ThreadPoolExecutor(AT_ONCE) as pool:
+                built = dict(zip(together, pool.map(inheritable_thread_target(spark)(layers.table), together)))
+            result.tables |= built
+        for facts in (result.tables, result.rows, result.quarantined):
+            for name in [n for n in names if n in facts]:
+                facts[name] = facts.pop(name)
         tested = gate(result.tables, stage_name, table_rules)
         if tested is not None:
             result.test_results[stage_name] = tested
