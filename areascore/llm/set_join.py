@@ -130,7 +130,7 @@ def all_signatures(values: np.ndarray, percent: int) -> np.ndarray:
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
     hashes = WordHashes()
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=1 << 19):
         values, ends = shingle_sets([split_words(t) for t in texts(batch)], shingle, hashes)
         yield batch.column("id"), np.split(values, ends[:-1])
 

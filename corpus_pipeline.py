@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areascore.llm import bpe, decontaminate, quality_rules, secret_scan, set_join
+from areascore.session import small_batches
 from areascore.sources.storage import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -74,6 +75,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = fresh_path(spark, name)
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with small_batches(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
