@@ -16,20 +16,20 @@ from __future__ import annotations
 
 import json
 import re
-import sys
 from collections.abc import Iterable, Iterator
 from itertools import islice
-from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from areascore.llm.batches import chunks, texts
+from areascore.llm.batches import chunks, texts, worker_store
 
-#: Distinct words, and distinct pieces of them, whose ids and decoded text a task keeps; beyond it the older half goes.
-KEPT_WORDS = 300_000
+#: Distinct words, and distinct pieces of them, whose ids and decoded text a worker process keeps; beyond it the older half goes.
+KEPT_WORDS = 150_000
+#: Bytes of text encoded in one walk.
+WALK_BYTES = 1 << 19
 LONG_WORD = 200
 END = "</w>"
 NEVER = 1 << 60
@@ -255,8 +255,8 @@ class TextEncoder:
 
 
 def shared_encoder(definition: str) -> TextEncoder:
-    """One encoder per worker process: tasks that follow one another keep its states."""
-    store = sys.modules.setdefault("bpe_encoders", ModuleType("bpe_encoders")).__dict__
+    """One encoder per worker process: tasks that follow one another keep its states, until another operator's tasks come."""
+    store = worker_store("bpe")
     if store.get("definition") != definition:
         store.update(definition=definition, encoder=TextEncoder(definition))
     return store["encoder"]
@@ -275,12 +275,15 @@ def encode_texts(df: DataFrame, path: str, text: str = "text", decode: bool = Tr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = shared_encoder(shared.value)
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, WALK_BYTES):
             coded = coder.coded(texts(batch, text))
             ids = pa.array([ids for ids, _ in coded], pa.binary())
             columns = [*batch.columns, pa.array([len(ids) // 4 for ids, _ in coded], pa.int64()), ids]
             if decode:
                 columns.append(pa.array([decoded for _, decoded in coded], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+        # The process stays for other tasks, and while stages without Python run.
+        del coder
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)

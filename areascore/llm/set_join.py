@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areascore.llm.batches import chunks, texts
+from areascore.llm.batches import chunks, texts, worker_store
 from areascore.llm.components import components
 from areascore.llm.words import ODD, WordHashes, mixed, shingle_sets, split_words
 from areascore.sources.storage import stage
@@ -129,6 +129,7 @@ def all_signatures(values: np.ndarray, percent: int) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], shingle: int):
+    worker_store("set_join")  # an encoder that the pipeline's last stage left would stand beside the sets
     hashes = WordHashes()
     for batch in chunks(batches, limit=1 << 19):
         values, ends = shingle_sets([split_words(t) for t in texts(batch)], shingle, hashes)
