@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from areascore.plans.layers import Layers, level, raw_inputs
 from areascore.quality import audit, rules
-from areascore.session import compiled_methods
+from areascore.session import compiled_methods, measured_broadcasts
 from areascore.settings import GOLD_TABLES, SILVER_TABLES
 
 #: Key that a stored table is laid out by: areas, or catchments where it has no areas.
@@ -123,7 +123,7 @@ def run_chain(
         df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    with compiled_methods(spark):
+    with compiled_methods(spark), measured_broadcasts(spark):
         return _build(spark, Layers(raw, stored=True, store=store), result, {"run_id": run_id}, logged, set(absent), suite, table_rules)
 
 
